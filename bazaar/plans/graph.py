@@ -217,6 +217,18 @@ class Marketplace:
     def service_category_performance(self) -> DataFrame:
         return sc.service_category_performance(self.service_category_demand, self.service_category_supply)
 
+    @cached_property
+    def staged_sources(self) -> dict[str, DataFrame]:
+        """The six staging models keyed by raw table name."""
+        return {
+            "users": self.stg_users,
+            "contractor_profiles": self.stg_contractor_profiles,
+            "services": self.stg_services,
+            "jobs": self.stg_jobs,
+            "adjustments": self.stg_adjustments,
+            "payouts": self.stg_payouts,
+        }
+
     # --- views and materialisation (A7) --------------------------------------
     def register_views(self, names: tuple[str, ...] = MODELS) -> None:
         """One temporary view per model, named as the model (lazy, like the originals)."""

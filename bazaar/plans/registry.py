@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaar.operators import integrity, kpis, primitives, quality, reconcile
 from bazaar.plans.graph import Marketplace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,48 @@ def _job_query(fn: Callable[[Marketplace], DataFrame], name: str) -> Query:
     return run
 
 
+def _declared(kind: str) -> Callable[[Marketplace], DataFrame]:
+    return lambda m: quality.declared_test_results(m.model, (kind,))
+
+
+def _singular(test: str) -> Callable[[Marketplace], DataFrame]:
+    return lambda m: quality.singular_test_rows(m.model, test)
+
+
+JOB_QUERIES: dict[str, Callable[[Marketplace], DataFrame]] = {
+    # data-quality tests (H1-H8)
+    "dq_unique": _declared("unique"),
+    "dq_not_null": _declared("not_null"),
+    "dq_accepted_values": _declared("accepted_values"),
+    "dq_relationships": _declared("relationships"),
+    "dq_status_exclusive": _singular("assert_jobs_status_mutually_exclusive"),
+    "dq_completion_order": _singular("assert_completed_at_after_requested_at"),
+    "dq_adjustment_positive": _singular("assert_adjustment_amounts_positive"),
+    "dq_refund_non_negative": _singular("assert_refund_amounts_non_negative"),
+    "dq_summary": lambda m: quality.test_summary(m.model),
+    # source validation and profiling
+    "integrity_sources": lambda m: integrity.source_integrity(m.staged_sources),
+    "integrity_rules": lambda m: integrity.specification_rules(m.staged_sources),
+    "profile_table": lambda m: integrity.profile_tables(m.staged_sources),
+    # reconciliation
+    "reconcile_payouts": lambda m: reconcile.reconcile_payouts(
+        m.int_payouts_enriched, m.int_jobs_enriched, m.int_adjustments_enriched
+    ),
+    "reconcile_summary": lambda m: reconcile.reconciliation_summary(
+        reconcile.reconcile_payouts(m.int_payouts_enriched, m.int_jobs_enriched, m.int_adjustments_enriched)
+    ),
+    "adjustments_after_payout": lambda m: reconcile.adjustments_after_payout(
+        m.int_adjustments_enriched, m.int_payouts_enriched
+    ),
+    # KPIs (I6-I10)
+    "kpi_marketplace": lambda m: kpis.marketplace_kpis(m.job_financials),
+    # isolated primitives
+    "agg_functions": lambda m: primitives.agg_functions(m.job_financials_by_category),
+    "scalar_functions": lambda m: primitives.scalar_functions(m.stg_jobs, m.stg_services),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _model_query(name) for name in MODEL_QUERIES}
+    out.update({name: _job_query(fn, name) for name, fn in JOB_QUERIES.items()})
     return out

@@ -4,16 +4,13 @@
 TPC-H views (customer, supplier, part, orders, ...).
 """
 
-from oracle.checks import CHECK_SQL
+from oracle.checks import CHECK_SQL, RECONCILE_CTES
 from oracle.models import MODEL_CTES, MODEL_NAMES
 from oracle.sources import SOURCE_CTES
 
-EXTRA_SQL: dict[str, str] = {}
-
-
 def with_models(select: str) -> str:
     """Prefix a SELECT with every source and model CTE."""
-    return f"WITH {SOURCE_CTES.strip()},\n{MODEL_CTES.strip()}\n{select}"
+    return f"WITH {SOURCE_CTES.strip()},\n{MODEL_CTES.strip()},\n{RECONCILE_CTES.strip()}\n{select}"
 
 
 def oracle_queries() -> dict[str, str]:
