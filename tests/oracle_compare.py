@@ -55,7 +55,7 @@ def _rows(table: pa.Table) -> list[tuple]:
 def compare(spark, name: str, spark_df, sql: str, sf_dir: str, con=None) -> dict:
     con = con or duck_connection(sf_dir)
     s_tab = spark_df.toArrow()
-    d_tab = con.execute(sql).to_arrow_table()
+    d_tab = con.sql(sql).to_arrow_table()
     out = {"name": name, "spark_rows": s_tab.num_rows, "oracle_rows": d_tab.num_rows}
     s_cols, d_cols = sorted(s_tab.column_names), sorted(d_tab.column_names)
     out["columns_match"] = s_cols == d_cols
