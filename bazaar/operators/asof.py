@@ -7,10 +7,10 @@ but it emits no pairs and puts no key group into a single task:
 1. Events and probes are unioned and range-partitioned on
    (key, time, kind, id). The unique id makes the sort key total, so a key
    holding a third of all rows is still cut into many partitions, each a
-   contiguous slice of the global order. The partitioned frame is
-   checkpointed to the shared checkpoint folder: the partition number becomes
-   a stored column (stable under re-execution, AQE and lost executors) and the
-   lineage is cut.
+   contiguous slice of the global order. The partitioned frame is written
+   to the shared checkpoint folder: the partition number becomes a stored
+   column (stable under re-execution, AQE and lost executors) and the lineage
+   is cut.
 2. Within a partition, a window over (partition, key) gives running sums.
    The (partition, key) groups are bounded by partition size.
 3. A key that continues from earlier partitions needs the total of its rows
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.session import checkpoint_dir
+from bazaar.session import stage_table
 
 
 def running_totals(
@@ -43,7 +43,6 @@ def running_totals(
     """Probe columns plus one ``<value>`` column per event value: sums over events
     with the same key and event time <= probe time (0 when none)."""
     spark = probes.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     probe_cols = probes.columns
@@ -67,11 +66,11 @@ def running_totals(
         *[F.lit(None).cast(value_types[v]).alias(v) for v in values],
         F.struct(*probe_cols).alias("_probe"),
     )
-    ranged = (
+    ranged = stage_table(
         ev.unionByName(pr)
         .repartitionByRange(n, "_k", "_t", "_kind", "_seq")
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint(eager=True)
+        .withColumn("_part", F.spark_partition_id()),
+        "asof",
     )
 
     order = ["_t", "_kind", "_seq"]

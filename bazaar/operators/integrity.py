@@ -8,13 +8,12 @@ join, so no check emits pairs of rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaar.functions import normalized
+from bazaar.operators.frames import union_all
 
 # --- fixed values: rule parameters from the data specification ---------------
 MAX_SERVICES_PER_CONTRACTOR = 5
@@ -44,7 +43,7 @@ def _orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, nam
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    return union_all(frames)
 
 
 def source_integrity(raw: dict[str, DataFrame]) -> DataFrame:

@@ -17,11 +17,11 @@ which AQE can split when one child key is hot.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 # --- fixed values: the declared tests of every model -------------------------
 JOB_STATUSES = ("completed", "canceled_by_customer", "canceled_by_contractor")
 ADJUSTMENT_TYPES = ("full_refund", "partial_refund", "goodwill_bonus")
@@ -426,89 +426,107 @@ SINGULAR_TESTS = (
 # -----------------------------------------------------------------------------
 
 RESULT_COLUMNS = ("layer", "model", "test", "column_name", "failures")
-
-
-def _result(df: DataFrame, spec: ModelTests, test: str) -> DataFrame:
-    return df.select(
-        F.lit(spec.layer).alias("layer"),
-        F.lit(spec.model).alias("model"),
-        F.lit(test).alias("test"),
-        F.col("column_name"),
-        F.col("failures").cast("bigint").alias("failures"),
+DECLARED_KINDS = ("unique", "not_null", "accepted_values", "relationships")
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _column_tests_sql(spec: ModelTests, kinds: tuple[str, ...]) -> str | None:
+    """unique, not_null and accepted_values of one model: one aggregate pass, unpivoted.
+
+    not_null counts and accepted-values distinct counts are columns of a
+    single global aggregate over the model; each unique test is an
+    uncorrelated scalar subquery (grouped count, map-side combined).
+    """
+    cells: list[tuple[str, str]] = []  # (label, expression)
+    if "not_null" in kinds:
+        cells += [(f"not_null|{c}", f"count_if({c} IS NULL)") for c in spec.not_null]
+    if "accepted_values" in kinds:
+        for c, values in spec.accepted:
+            allowed = ", ".join(_lit(v) for v in values)
+            cells.append((f"accepted_values|{c}", f"count(DISTINCT CASE WHEN NOT ({c} IN ({allowed})) THEN {c} END)"))
+    scalars: list[tuple[str, str]] = []
+    if "unique" in kinds:
+        for c in spec.unique:
+            scalars.append(
+                (
+                    f"unique|{c}",
+                    f"(SELECT count_if(n > 1) FROM (SELECT {c}, count(*) AS n FROM {spec.model} "
+                    f"WHERE {c} IS NOT NULL GROUP BY {c}))",
+                )
+            )
+    if not cells and not scalars:
+        return None
+    if cells:
+        inner = ", ".join(f"CAST({expr} AS BIGINT) AS `{label}`" for label, expr in cells)
+        source = f"(SELECT {inner} FROM {spec.model}) agg"
+        select_cells = [f"agg.`{label}`" for label, _ in cells]
+    else:
+        source = "(SELECT 1 AS one) agg"
+        select_cells = []
+    select_cells += [f"CAST({expr} AS BIGINT) AS `{label}`" for label, expr in scalars]
+    labels = ", ".join(f"`{label}`" for label, _ in cells + scalars)
+    return (
+        f"SELECT {_lit(spec.layer)} AS layer, {_lit(spec.model)} AS model, "
+        f"split(label, '[|]')[0] AS test, split(label, '[|]')[1] AS column_name, failures "
+        f"FROM (SELECT {', '.join(select_cells)} FROM {source}) "
+        f"UNPIVOT INCLUDE NULLS (failures FOR label IN ({labels}))"
     )
 
 
-def _unpivot_one_row(row: DataFrame, columns: list[str]) -> DataFrame:
-    """One aggregate row with a column per test -> one row per test."""
-    return row.unpivot([], columns, "column_name", "failures")
-
-
-def unique_failures(model_df: DataFrame, spec: ModelTests) -> list[DataFrame]:
-    out = []
-    for c in spec.unique:
-        dupes = (
-            model_df.where(F.col(c).isNotNull())
-            .groupBy(c)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 1)
-            .agg(F.count(F.lit(1)).alias("failures"))
-            .select(F.lit(c).alias("column_name"), "failures")
-        )
-        out.append(_result(dupes, spec, "unique"))
-    return out
-
-
-def not_null_failures(model_df: DataFrame, spec: ModelTests) -> list[DataFrame]:
-    if not spec.not_null:
-        return []
-    cols = list(spec.not_null)
-    row = model_df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return [_result(_unpivot_one_row(row, cols), spec, "not_null")]
-
-
-def accepted_values_failures(model_df: DataFrame, spec: ModelTests) -> list[DataFrame]:
-    if not spec.accepted:
-        return []
-    cols = [c for c, _ in spec.accepted]
-    row = model_df.agg(
-        *[F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))).alias(c) for c, values in spec.accepted]
-    )
-    return [_result(_unpivot_one_row(row, cols), spec, "accepted_values")]
+def _relationships_sql(spec: ModelTests) -> list[str]:
+    return [
+        f"SELECT {_lit(spec.layer)} AS layer, {_lit(spec.model)} AS model, "
+        f"{_lit(f'relationships:{parent}.{pc}')} AS test, {_lit(c)} AS column_name, "
+        f"CAST(count(*) AS BIGINT) AS failures "
+        f"FROM (SELECT {c} FROM {spec.model} WHERE {c} IS NOT NULL) child "
+        f"LEFT ANTI JOIN (SELECT {pc} FROM {parent}) parent ON child.{c} = parent.{pc}"
+        for c, parent, pc in spec.relationships
+    ]
 
 
-def relationship_failures(model_df: DataFrame, spec: ModelTests, resolve) -> list[DataFrame]:
-    out = []
-    for column, parent, parent_column in spec.relationships:
-        parent_keys = resolve(parent).select(F.col(parent_column).alias("__parent_key"))
-        orphans = (
-            model_df.select(column)
-            .where(F.col(column).isNotNull())
-            .join(parent_keys, F.col(column) == F.col("__parent_key"), "left_anti")
-            .agg(F.count(F.lit(1)).alias("failures"))
-            .select(F.lit(column).alias("column_name"), "failures")
-        )
-        out.append(_result(orphans, spec, f"relationships:{parent}.{parent_column}"))
-    return out
+def _singular_counts_sql() -> list[str]:
+    return [
+        f"SELECT 'singular' AS layer, {_lit(model)} AS model, {_lit(name)} AS test, "
+        f"CAST(NULL AS STRING) AS column_name, CAST(count(*) AS BIGINT) AS failures "
+        f"FROM {model} WHERE {predicate}"
+        for name, model, predicate, _ in SINGULAR_TESTS
+    ]
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def suite_sql(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False) -> str:
+    """Spark SQL over the model views for the selected test kinds (UNION ALL)."""
+    parts: list[str] = []
+    for spec in DECLARED_TESTS:
+        column_part = _column_tests_sql(spec, kinds)
+        if column_part:
+            parts.append(column_part)
+        if "relationships" in kinds:
+            parts += _relationships_sql(spec)
+    if singular:
+        parts += _singular_counts_sql()
+    return "\nUNION ALL\n".join(parts)
 
 
-def declared_test_results(resolve, kinds: tuple[str, ...] = ("unique", "not_null", "accepted_values", "relationships")):
-    """Failing-row counts of every declared test; ``resolve(model)`` -> DataFrame."""
-    frames: list[DataFrame] = []
+def models_under_test() -> tuple[str, ...]:
+    names: list[str] = []
     for spec in DECLARED_TESTS:
-        df = resolve(spec.model)
-        if "unique" in kinds:
-            frames += unique_failures(df, spec)
-        if "not_null" in kinds:
-            frames += not_null_failures(df, spec)
-        if "accepted_values" in kinds:
-            frames += accepted_values_failures(df, spec)
-        if "relationships" in kinds:
-            frames += relationship_failures(df, spec, resolve)
-    return _union(frames)
+        names.append(spec.model)
+        names += [parent for _, parent, _ in spec.relationships]
+    names += [model for _, model, _, _ in SINGULAR_TESTS]
+    return tuple(dict.fromkeys(names))
+
+
+def declared_test_results(marketplace, kinds: tuple[str, ...] = DECLARED_KINDS) -> DataFrame:
+    """Failing-row counts of the declared tests of the selected kinds.
+
+    The suite runs as one Spark SQL statement over one temporary view per
+    model, so the driver parses and analyses it once.
+    """
+    marketplace.register_views(models_under_test())
+    return marketplace.stg_jobs.sparkSession.sql(suite_sql(kinds))
 
 
 def singular_test_rows(resolve, name: str) -> DataFrame:
@@ -519,26 +537,11 @@ def singular_test_rows(resolve, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def singular_test_results(resolve) -> DataFrame:
-    frames = []
-    for test, model, predicate, _ in SINGULAR_TESTS:
-        n = resolve(model).where(F.expr(predicate)).agg(F.count(F.lit(1)).alias("failures"))
-        frames.append(
-            n.select(
-                F.lit("singular").alias("layer"),
-                F.lit(model).alias("model"),
-                F.lit(test).alias("test"),
-                F.lit(None).cast("string").alias("column_name"),
-                F.col("failures").cast("bigint").alias("failures"),
-            )
-        )
-    return _union(frames)
-
-
-def test_summary(resolve) -> DataFrame:
-    """All declared and singular tests with a pass flag."""
-    results = declared_test_results(resolve).unionByName(singular_test_results(resolve))
-    return results.withColumn("passed", F.col("failures") == 0)
+def test_summary(marketplace) -> DataFrame:
+    """All 287 declared and singular tests, one row each, with a pass flag."""
+    marketplace.register_views(models_under_test())
+    sql = f"SELECT *, failures = 0 AS passed FROM ({suite_sql(DECLARED_KINDS, singular=True)}) t"
+    return marketplace.stg_jobs.sparkSession.sql(sql)
 
 
 def declared_test_count() -> int:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaar.operators import intermediate as im
 from bazaar.operators import marts as mt
 from bazaar.operators import scorecards as sc
-from bazaar.session import checkpoint_dir
+from bazaar.session import checkpoint_dir, stage_table
 from bazaar.sources import load_sources, staged
 
 STAGING = (
@@ -53,6 +53,11 @@ MARTS = (
     "service_category_performance",
 )
 MODELS = STAGING + INTERMEDIATE + MARTS
+# Models read by many checks of one test run (fct_jobs: ~10 readers), staged once.
+# Models with one or two readers are cheaper to recompute inside the single test
+# query, where Spark reuses their identical shuffle stages.
+SHARED_MODELS = ("fct_jobs",)
+STAGE_MIN_ROWS = 50_000_000
 
 
 class Marketplace:
@@ -235,6 +240,33 @@ class Marketplace:
         for name in names:
             self.model(name).createOrReplaceTempView(name)
 
+    def stage_models(self, names: tuple[str, ...]) -> "Marketplace":
+        """Compute each named model once into the shared checkpoint folder.
+
+        Names must be in dependency order; each later model is then built on
+        the stored copies of earlier ones, so a job that reads many models (the
+        full test run) computes every join and aggregate once, and its lineage
+        starts at the checkpoint files. Returns self for chaining.
+        """
+        for name in names:
+            self.__dict__[name] = stage_table(self.model(name), name)
+        return self
+
+    def for_test_run(self) -> "Marketplace":
+        """Stage the shared models when the data is large enough to pay for it.
+
+        Below ``bazaar.stage.minRows`` jobs (default 50 million) one test query
+        that recomputes fct_jobs per reader, with Spark reusing the identical
+        shuffle stages, is cheaper than an extra write and read; above it the
+        repeated joins dominate. The row count is a scalar job that Parquet
+        answers mostly from file footers.
+        """
+        spark = self.stg_jobs.sparkSession
+        threshold = int(spark.conf.get("bazaar.stage.minRows", str(STAGE_MIN_ROWS)))
+        if self.stg_jobs.count() >= threshold:
+            self.stage_models(SHARED_MODELS)
+        return self
+
     def materialize(self, name: str, directory: str | None = None) -> DataFrame:
         """Write a model as Parquet under the shared checkpoint folder and read it back.
 

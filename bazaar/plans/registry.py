@@ -63,7 +63,7 @@ def _job_query(fn: Callable[[Marketplace], DataFrame], name: str) -> Query:
 
 
 def _declared(kind: str) -> Callable[[Marketplace], DataFrame]:
-    return lambda m: quality.declared_test_results(m.model, (kind,))
+    return lambda m: quality.declared_test_results(m, (kind,))
 
 
 def _singular(test: str) -> Callable[[Marketplace], DataFrame]:
@@ -80,7 +80,7 @@ JOB_QUERIES: dict[str, Callable[[Marketplace], DataFrame]] = {
     "dq_completion_order": _singular("assert_completed_at_after_requested_at"),
     "dq_adjustment_positive": _singular("assert_adjustment_amounts_positive"),
     "dq_refund_non_negative": _singular("assert_refund_amounts_non_negative"),
-    "dq_summary": lambda m: quality.test_summary(m.model),
+    "dq_summary": lambda m: quality.test_summary(m.for_test_run()),
     # source validation and profiling
     "integrity_sources": lambda m: integrity.source_integrity(m.staged_sources),
     "integrity_rules": lambda m: integrity.specification_rules(m.staged_sources),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Timestamps are zone-less (TIMESTAMP_NTZ) in the
 # sources, but a UTC session zone keeps any LTZ detour deterministic.
@@ -63,3 +64,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="bazaar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def stage_table(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    One job (a reliable RDD checkpoint computes its input twice unless
+    persisted), columnar and compressed; the returned frame's lineage starts
+    at the files, so later stages neither recompute ``df`` nor lose it with an
+    executor.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "staged", f"{label}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

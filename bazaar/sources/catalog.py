@@ -48,11 +48,29 @@ def staged(raw: DataFrame, table: str) -> DataFrame:
     return raw.select(*expected)
 
 
-def write_sources(sources: dict[str, DataFrame], directory: str, mode: str = "overwrite") -> None:
+# Layout key per table: its own key, or job_id for the job-grain children.
+LAYOUT_KEYS = {
+    "users": "user_id",
+    "contractor_profiles": "user_id",
+    "services": "service_id",
+    "jobs": "job_id",
+    "adjustments": "job_id",
+    "payouts": "job_id",
+}
+
+
+def write_sources(
+    sources: dict[str, DataFrame], directory: str, mode: str = "overwrite", files_per_table: int | None = None
+) -> None:
     """Persist the six raw tables as Parquet (one directory per table).
 
-    Rows keep the engine's partitioning; no coalesce to one file, so the write
-    is parallel at any size.
+    Without ``files_per_table`` rows keep the engine's partitioning (parallel
+    write, no extra shuffle). With it, each table is hash-partitioned on its
+    layout key into that many files, so later scans split evenly and the three
+    job-grain tables share one layout.
     """
     for name in TABLE_NAMES:
-        staged(sources[name], name).write.mode(mode).parquet(os.path.join(directory, f"{name}.parquet"))
+        df = staged(sources[name], name)
+        if files_per_table:
+            df = df.repartition(files_per_table, LAYOUT_KEYS[name])
+        df.write.mode(mode).parquet(os.path.join(directory, f"{name}.parquet"))

@@ -19,7 +19,7 @@ def _clean_rows():
 
 
 def _failures(m) -> dict:
-    return {(r["model"], r["test"], r["column_name"]): r["failures"] for r in quality.test_summary(m.model).collect()}
+    return {(r["model"], r["test"], r["column_name"]): r["failures"] for r in quality.test_summary(m).collect()}
 
 
 def test_declared_test_count_matches_reference():
