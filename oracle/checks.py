@@ -238,7 +238,7 @@ SELECT count(*) AS total_jobs,
        count(*) FILTER (WHERE is_canceled) AS canceled_jobs,
        sum(gross_amount_usd) AS gross_booking_value_usd,
        sum(net_revenue_usd) AS net_booking_value_usd,
-       round(sum(total_platform_fee_usd), 2) AS platform_revenue_usd,
+       round(fsum(total_platform_fee_usd), 2) AS platform_revenue_usd,
        sum(total_payout_amount_usd) AS contractor_earnings_usd,
        round(100.0 * count(*) FILTER (WHERE is_canceled) / nullif(count(*), 0), 2) AS cancellation_rate_pct
 FROM fct_jobs
@@ -251,7 +251,7 @@ SELECT service_category,
        count(DISTINCT customer_id) AS f3_distinct_customers,
        count(DISTINCT contractor_id) FILTER (WHERE is_completed) AS f4_distinct_completing_contractors,
        sum(gross_amount_usd) AS f5_gross_sum_usd,
-       round(sum(total_platform_fee_usd), 2) AS f5_platform_fee_sum_usd,
+       round(fsum(total_platform_fee_usd), 2) AS f5_platform_fee_sum_usd,
        sum(CASE WHEN has_full_refund THEN gross_amount_usd ELSE 0 END) AS f6_fully_refunded_gross_usd,
        round(avg(gross_amount_usd), 2) AS f7_avg_gross_usd,
        round(avg(gross_amount_usd) FILTER (WHERE total_refund_usd > 0), 2) AS f7_avg_refunded_job_gross_usd,
