@@ -53,6 +53,8 @@ MARTS = (
     "service_category_performance",
 )
 MODELS = STAGING + INTERMEDIATE + MARTS
+# Build order: the lean job fact (read by fct_jobs and three scorecards) is written before them.
+BUILD_ORDER = INTERMEDIATE + MARTS[:3] + ("job_financials",) + MARTS[3:]
 # Models read by many checks of one test run (fct_jobs: ~10 readers), staged once.
 # Models with one or two readers are cheaper to recompute inside the single test
 # query, where Spark reuses their identical shuffle stages.
@@ -267,6 +269,19 @@ class Marketplace:
             self.stage_models(SHARED_MODELS)
         return self
 
+    def build(self, target_dir: str, names: tuple[str, ...] = BUILD_ORDER) -> dict[str, str]:
+        """Write every named model as Parquet under ``target_dir``, in dependency order.
+
+        Each model is computed once: after it is written, later models read
+        the written table instead of recomputing its lineage (table
+        materialisation of the whole graph). Returns model -> path.
+        """
+        paths = {}
+        for name in names:
+            self.materialize(name, target_dir)
+            paths[name] = os.path.join(target_dir, "models", name)
+        return paths
+
     def materialize(self, name: str, directory: str | None = None) -> DataFrame:
         """Write a model as Parquet under the shared checkpoint folder and read it back.
 

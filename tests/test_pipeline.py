@@ -61,3 +61,13 @@ def test_materialize_replaces_model(spark):
     stored = m.materialize("fct_jobs")
     assert m.fct_jobs is stored and stored.count() == 1500
     assert m.contractor_performance_summary.count() == 10
+
+
+def test_build_writes_every_model_once(spark):
+    target = tempfile.mkdtemp(prefix="bazaar-build-")
+    m = Marketplace.load(spark, SF_SMALL)
+    paths = m.build(target)
+    assert len(paths) == 16
+    assert spark.read.parquet(paths["fct_jobs"]).count() == 1500
+    assert spark.read.parquet(paths["customer_health_summary"]).count() == 160
+    assert m.service_category_performance.count() == 4
