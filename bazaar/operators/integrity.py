@@ -197,28 +197,29 @@ def sql_type_name(dtype: T.DataType) -> str:
 def profile_table(df: DataFrame, table_name: str) -> DataFrame:
     """Per column: type, NULL count; per table: rows, columns, duplicate rows.
 
-    NULL counts for all columns come from one aggregate pass. Duplicate rows
-    (rows equal to an earlier row) = rows - distinct rows, from a hash
-    aggregation over all columns whose map-side combine collapses copies
-    before the shuffle; it is a scalar subquery, not a join.
+    One pass: a hash aggregation over all columns (map-side combine collapses
+    copies of a row before the shuffle) gives each distinct row with its
+    multiplicity n; rows = sum(n), duplicate rows (copies of an earlier row)
+    = sum(n - 1), and the NULLs of a column = sum(n) over distinct rows where
+    it is NULL. The one result row is unpivoted to one row per column.
     """
     cols = df.columns
-    stats = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in cols],
-    )
-    duplicates = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d")
+    n = F.col("__n")
+    grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    stats = grouped.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(n - 1), F.lit(0)).alias("duplicate_rows"),
+        *[F.coalesce(F.sum(F.when(F.col(c).isNull(), n)), F.lit(0)).alias(c) for c in cols],
     )
     types = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(sql_type_name(df.schema[c].dataType)))])
-    return stats.unpivot(["row_count"], cols, "column_name", "null_count").select(
+    return stats.unpivot(["row_count", "duplicate_rows"], cols, "column_name", "null_count").select(
         F.lit(table_name).alias("table_name"),
         "column_name",
         F.element_at(types, F.col("column_name")).alias("data_type"),
         F.col("null_count").cast("bigint").alias("null_count"),
         F.col("row_count").cast("bigint").alias("row_count"),
         F.lit(len(cols)).cast("bigint").alias("column_count"),
-        duplicates.scalar().cast("bigint").alias("duplicate_rows"),
+        F.col("duplicate_rows").cast("bigint").alias("duplicate_rows"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +47,26 @@ MODEL_QUERIES = (
 )
 
 
+_GRAPHS: dict[tuple[str, str], Marketplace] = {}
+
+
+def marketplace(spark: SparkSession, source_dir: str) -> Marketplace:
+    """The model graph over ``source_dir``, built once per session.
+
+    Queries over the same sources share the built (lazy) plans, so the driver
+    does not rebuild thirty DataFrames per query; every query still executes
+    in full.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(source_dir))
+    graph = _GRAPHS.get(key)
+    if graph is None:
+        graph = _GRAPHS[key] = Marketplace.load(spark, source_dir)
+    return graph
+
+
 def _model_query(name: str) -> Query:
     def run(spark: SparkSession, source_dir: str) -> DataFrame:
-        return Marketplace.load(spark, source_dir).model(name)
+        return marketplace(spark, source_dir).model(name)
 
     run.__name__ = name
     return run
@@ -56,7 +74,7 @@ def _model_query(name: str) -> Query:
 
 def _job_query(fn: Callable[[Marketplace], DataFrame], name: str) -> Query:
     def run(spark: SparkSession, source_dir: str) -> DataFrame:
-        return fn(Marketplace.load(spark, source_dir))
+        return fn(marketplace(spark, source_dir))
 
     run.__name__ = name
     return run
