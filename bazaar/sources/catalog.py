@@ -10,16 +10,13 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaar.sources import fixtures
 from bazaar.sources.schemas import RAW_SCHEMAS, TABLE_NAMES
 
 
-def _has_marketplace_tables(directory: str) -> bool:
-    return all(os.path.exists(os.path.join(directory, f"{name}.parquet")) for name in TABLE_NAMES)
-
-
 def read_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """Scan the raw Parquet tables with their declared schemas."""
     return {
@@ -28,10 +25,22 @@ def read_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     }
 
 
-def load_sources(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The six raw tables as lazy DataFrames, read or derived."""
-    if _has_marketplace_tables(directory):
-        return read_raw(spark, directory)
+def load_sources(spark: SparkSession, directory: str, layout: str = "auto") -> dict[str, DataFrame]:
+    """The six raw tables as lazy DataFrames.
+
+    ``layout``: "marketplace" reads ``<table>.parquet`` for the six tables,
+    "tpch" derives them from the TPC-H-style test tables, "auto" tries the
+    first and falls back to the second. The probe goes through Spark's own
+    file listing, so it works for any file system Spark can read.
+    """
+    if layout not in ("auto", "marketplace", "tpch"):
+        raise ValueError(f"unknown layout {layout!r}")
+    if layout != "tpch":
+        try:
+            return read_raw(spark, directory)
+        except AnalysisException:
+            if layout == "marketplace":
+                raise
     return fixtures.derive_sources(fixtures.TpchInputs.read(spark, directory))
 
 
