@@ -11,7 +11,10 @@ Plan shape: every not_null and accepted_values test of a model is evaluated
 in **one** aggregate pass over that model (then unpivoted to one row per
 test), uniqueness is a hash aggregation with map-side combine (a key copied
 a billion times collapses per task), and relationships are left-anti joins,
-which AQE can split when one child key is hot.
+which AQE can split when one child key is hot. The descriptors below are
+rendered into one Spark SQL statement over one temporary view per model, so
+the driver parses and analyses the whole suite once instead of building a
+few hundred DataFrames through the Python API.
 """
 
 from __future__ import annotations
