@@ -436,26 +436,54 @@ def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _column_tests_sql(spec: ModelTests, kinds: tuple[str, ...]) -> str | None:
-    """unique, not_null and accepted_values of one model: one aggregate pass, unpivoted.
-
-    not_null counts and accepted-values distinct counts are columns of a
-    single global aggregate over the model; each unique test is an
-    uncorrelated scalar subquery (grouped count, map-side combined).
+# A parent's key set can be read from an upstream model with the same key set:
+# each of these marts is its source model left-joined to other tables, and a
+# left join never drops a row of its left side, so the keys are identical.
+PARENT_KEY_SOURCES = {
+    ("fct_jobs", "job_id"): ("int_jobs_enriched", "job_id"),
+    ("dim_services", "service_id"): ("int_services_enriched", "service_id"),
+    ("dim_contractors", "contractor_id"): ("int_contractor_profiles_enriched", "contractor_id"),
+    ("dim_users", "user_id"): ("int_users_enriched", "user_id"),
+}
+
+
+def _model_tests_sql(spec: ModelTests, kinds: tuple[str, ...], singular: bool) -> str | None:
+    """All tests of one model from one pass over it, unpivoted to one row per test.
+
+    not_null and singular tests are ``count_if`` cells and accepted_values
+    a distinct count, all in one global aggregate. Each relationship is a
+    left join to the parent's *distinct* keys (row count unchanged) whose
+    misses are counted in the same aggregate, so the model is read once for
+    all of them. Each unique test is an uncorrelated scalar subquery (a
+    grouped count, map-side combined).
     """
-    cells: list[tuple[str, str]] = []  # (label, expression)
+    cells: list[tuple[str, str]] = []  # (label "layer|test|column", aggregate expression)
+    joins: list[str] = []
     if "not_null" in kinds:
-        cells += [(f"not_null|{c}", f"count_if({c} IS NULL)") for c in spec.not_null]
+        cells += [(f"{spec.layer}|not_null|{c}", f"count_if(m.{c} IS NULL)") for c in spec.not_null]
     if "accepted_values" in kinds:
         for c, values in spec.accepted:
             allowed = ", ".join(_lit(v) for v in values)
-            cells.append((f"accepted_values|{c}", f"count(DISTINCT CASE WHEN NOT ({c} IN ({allowed})) THEN {c} END)"))
+            cells.append(
+                (f"{spec.layer}|accepted_values|{c}", f"count(DISTINCT CASE WHEN NOT (m.{c} IN ({allowed})) THEN m.{c} END)")
+            )
+    if "relationships" in kinds:
+        for i, (c, parent, pc) in enumerate(spec.relationships):
+            source, source_col = PARENT_KEY_SOURCES.get((parent, pc), (parent, pc))
+            joins.append(f"LEFT JOIN (SELECT DISTINCT {source_col} AS __pk{i} FROM {source}) p{i} ON m.{c} = p{i}.__pk{i}")
+            cells.append((f"{spec.layer}|relationships:{parent}.{pc}|{c}", f"count_if(m.{c} IS NOT NULL AND p{i}.__pk{i} IS NULL)"))
+    if singular:
+        cells += [
+            (f"singular|{name}|", f"count_if({predicate})")
+            for name, model, predicate, _ in SINGULAR_TESTS
+            if model == spec.model
+        ]
     scalars: list[tuple[str, str]] = []
     if "unique" in kinds:
         for c in spec.unique:
             scalars.append(
                 (
-                    f"unique|{c}",
+                    f"{spec.layer}|unique|{c}",
                     f"(SELECT count_if(n > 1) FROM (SELECT {c}, count(*) AS n FROM {spec.model} "
                     f"WHERE {c} IS NOT NULL GROUP BY {c}))",
                 )
@@ -464,7 +492,7 @@ def _column_tests_sql(spec: ModelTests, kinds: tuple[str, ...]) -> str | None:
         return None
     if cells:
         inner = ", ".join(f"CAST({expr} AS BIGINT) AS `{label}`" for label, expr in cells)
-        source = f"(SELECT {inner} FROM {spec.model}) agg"
+        source = f"(SELECT {inner} FROM {spec.model} m {' '.join(joins)}) agg"
         select_cells = [f"agg.`{label}`" for label, _ in cells]
     else:
         source = "(SELECT 1 AS one) agg"
@@ -472,53 +500,24 @@ def _column_tests_sql(spec: ModelTests, kinds: tuple[str, ...]) -> str | None:
     select_cells += [f"CAST({expr} AS BIGINT) AS `{label}`" for label, expr in scalars]
     labels = ", ".join(f"`{label}`" for label, _ in cells + scalars)
     return (
-        f"SELECT {_lit(spec.layer)} AS layer, {_lit(spec.model)} AS model, "
-        f"split(label, '[|]')[0] AS test, split(label, '[|]')[1] AS column_name, failures "
+        f"SELECT split(label, '[|]')[0] AS layer, {_lit(spec.model)} AS model, split(label, '[|]')[1] AS test, "
+        f"nullif(split(label, '[|]')[2], '') AS column_name, failures "
         f"FROM (SELECT {', '.join(select_cells)} FROM {source}) "
         f"UNPIVOT INCLUDE NULLS (failures FOR label IN ({labels}))"
     )
 
 
-def _relationships_sql(spec: ModelTests) -> list[str]:
-    return [
-        f"SELECT {_lit(spec.layer)} AS layer, {_lit(spec.model)} AS model, "
-        f"{_lit(f'relationships:{parent}.{pc}')} AS test, {_lit(c)} AS column_name, "
-        f"CAST(count(*) AS BIGINT) AS failures "
-        f"FROM (SELECT {c} FROM {spec.model} WHERE {c} IS NOT NULL) child "
-        f"LEFT ANTI JOIN (SELECT {pc} FROM {parent}) parent ON child.{c} = parent.{pc}"
-        for c, parent, pc in spec.relationships
-    ]
-
-
-def _singular_counts_sql() -> list[str]:
-    return [
-        f"SELECT 'singular' AS layer, {_lit(model)} AS model, {_lit(name)} AS test, "
-        f"CAST(NULL AS STRING) AS column_name, CAST(count(*) AS BIGINT) AS failures "
-        f"FROM {model} WHERE {predicate}"
-        for name, model, predicate, _ in SINGULAR_TESTS
-    ]
-
-
 def suite_sql(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False) -> str:
-    """Spark SQL over the model views for the selected test kinds (UNION ALL)."""
-    parts: list[str] = []
-    for spec in DECLARED_TESTS:
-        column_part = _column_tests_sql(spec, kinds)
-        if column_part:
-            parts.append(column_part)
-        if "relationships" in kinds:
-            parts += _relationships_sql(spec)
-    if singular:
-        parts += _singular_counts_sql()
-    return "\nUNION ALL\n".join(parts)
+    """Spark SQL over the model views for the selected tests: one branch per model."""
+    parts = [_model_tests_sql(spec, kinds, singular) for spec in DECLARED_TESTS]
+    return "\nUNION ALL\n".join(p for p in parts if p)
 
 
 def models_under_test() -> tuple[str, ...]:
     names: list[str] = []
     for spec in DECLARED_TESTS:
         names.append(spec.model)
-        names += [parent for _, parent, _ in spec.relationships]
-    names += [model for _, model, _, _ in SINGULAR_TESTS]
+        names += [PARENT_KEY_SOURCES.get((parent, pc), (parent, pc))[0] for _, parent, pc in spec.relationships]
     return tuple(dict.fromkeys(names))
 
 
