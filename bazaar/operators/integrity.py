@@ -37,6 +37,13 @@ def _failing(df: DataFrame, name: str, holds: Column) -> DataFrame:
     )
 
 
+def _failing_many(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
+    """Several rules over the same frame from one aggregate pass, one row per rule."""
+    names = [name for name, _ in rules]
+    row = df.agg(*[F.count_if(~F.coalesce(holds, F.lit(False))).alias(name) for name, holds in rules])
+    return row.unpivot([], names, "check_name", "violations")
+
+
 def _orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str) -> DataFrame:
     parents = parent.select(F.col(parent_key).alias("__pk"))
     return _count(child.select(key).join(parents, F.col(key) == F.col("__pk"), "left_anti"), name)
@@ -128,46 +135,68 @@ def specification_rules(raw: dict[str, DataFrame]) -> DataFrame:
     adj_date, pay_date = F.col("adjustment_date"), F.col("payout_date")
     j_done = F.col("j_completed_at")
     nulls = [completed_at.isNull(), act.isNull(), F.col("gross_amount").isNull()]
+    done = F.col("is_completed")
+    not_completed = ~F.coalesce(done, F.lit(False))  # rules that apply to completed jobs only
     checks = [
         _failing(users, "suspended_users_are_inactive", ~(F.col("is_suspended") & F.col("is_active"))),
         _failing(profiles, "commission_matches_tier", F.col("commission_rate") == expected_rate),
         _count(listings.where(F.col("n") > MAX_SERVICES_PER_CONTRACTOR), "contractor_has_at_most_5_services"),
-        _failing(jobs_svc, "job_contractor_matches_service", F.col("contractor_id") == F.col("s_contractor_id")),
+        _failing_many(
+            jobs_svc,
+            [
+                ("job_contractor_matches_service", F.col("contractor_id") == F.col("s_contractor_id")),
+                # only completed jobs are held to the rate rule
+                (
+                    "gross_is_actual_hours_times_rate",
+                    not_completed | (F.abs(F.col("gross_amount") - act * F.col("s_hourly_rate")) <= MONEY_TOLERANCE),
+                ),
+            ],
+        ),
         _count(contractors_as_customers, "customer_is_not_a_contractor"),
-        _failing(
+        _failing_many(
             jobs_n,
-            "completion_fields_only_when_completed",
-            F.when(F.col("is_completed"), ~(nulls[0] | nulls[1] | nulls[2])).otherwise(nulls[0] & nulls[1] & nulls[2]),
-        ),
-        _failing(
-            jobs_n.where(F.col("is_completed")),
-            "actual_hours_within_30_pct",
-            (act >= est * (1 - HOURS_VARIATION) - HOURS_TOLERANCE) & (act <= est * (1 + HOURS_VARIATION) + HOURS_TOLERANCE),
-        ),
-        _failing(
-            jobs_svc.where(F.col("is_completed")),
-            "gross_is_actual_hours_times_rate",
-            F.abs(F.col("gross_amount") - act * F.col("s_hourly_rate")) <= MONEY_TOLERANCE,
+            [
+                (
+                    "completion_fields_only_when_completed",
+                    F.when(done, ~(nulls[0] | nulls[1] | nulls[2])).otherwise(nulls[0] & nulls[1] & nulls[2]),
+                ),
+                (
+                    "actual_hours_within_30_pct",
+                    not_completed
+                    | (
+                        (act >= est * (1 - HOURS_VARIATION) - HOURS_TOLERANCE)
+                        & (act <= est * (1 + HOURS_VARIATION) + HOURS_TOLERANCE)
+                    ),
+                ),
+            ],
         ),
-        _failing(adj_jobs, "adjustments_only_on_completed_jobs", F.col("j_is_completed")),
-        _failing(adj_jobs, "adjustment_within_gross", F.col("adjustment_amount") <= F.col("j_gross")),
-        _failing(
+        _failing_many(
             adj_jobs,
-            "adjustment_within_30_days_of_completion",
-            (adj_date >= j_done) & (adj_date <= F.timestamp_add("DAY", F.lit(ADJUSTMENT_WINDOW_DAYS), j_done)),
+            [
+                ("adjustments_only_on_completed_jobs", F.col("j_is_completed")),
+                ("adjustment_within_gross", F.col("adjustment_amount") <= F.col("j_gross")),
+                (
+                    "adjustment_within_30_days_of_completion",
+                    (adj_date >= j_done) & (adj_date <= F.timestamp_add("DAY", F.lit(ADJUSTMENT_WINDOW_DAYS), j_done)),
+                ),
+            ],
         ),
         _failing(
             jobs_payouts,
             "one_payout_per_completed_job",
-            F.when(F.col("is_completed"), n_payouts == 1).otherwise(n_payouts == 0),
+            F.when(done, n_payouts == 1).otherwise(n_payouts == 0),
         ),
-        _failing(
+        _failing_many(
             pay_jobs,
-            "payout_7_to_14_days_after_completion",
-            (pay_date >= F.timestamp_add("DAY", F.lit(PAYOUT_DELAY_MIN_DAYS), j_done))
-            & (pay_date <= F.timestamp_add("DAY", F.lit(PAYOUT_DELAY_MAX_DAYS), j_done)),
+            [
+                (
+                    "payout_7_to_14_days_after_completion",
+                    (pay_date >= F.timestamp_add("DAY", F.lit(PAYOUT_DELAY_MIN_DAYS), j_done))
+                    & (pay_date <= F.timestamp_add("DAY", F.lit(PAYOUT_DELAY_MAX_DAYS), j_done)),
+                ),
+                ("payout_contractor_matches_job", F.col("contractor_id") == F.col("j_contractor_id")),
+            ],
         ),
-        _failing(pay_jobs, "payout_contractor_matches_job", F.col("contractor_id") == F.col("j_contractor_id")),
         _failing(pay_prof, "payout_commission_matches_profile", F.col("commission_rate") == F.col("c_rate")),
     ]
     return _union(checks)

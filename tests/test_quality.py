@@ -82,3 +82,12 @@ def test_profile_counts_nulls_and_duplicates(spark):
     assert by_col["city"]["duplicate_rows"] == 2 and by_col["city"]["row_count"] == 4
     assert by_col["signup_date"]["data_type"] == "TIMESTAMP" and by_col["user_id"]["data_type"] == "BIGINT"
     assert by_col["user_id"]["column_count"] == 5
+
+
+def test_rate_rules_ignore_jobs_without_status(spark):
+    rows = _clean_rows()
+    rows["jobs"] = rows["jobs"] + [(5, 1, 9, 1, None, None, None, 1.0, None, None)]
+    m = marketplace(spark, **rows)
+    rules = {r["check_name"]: r["violations"] for r in integrity.specification_rules(m.staged_sources).collect()}
+    assert rules["actual_hours_within_30_pct"] == 0
+    assert rules["gross_is_actual_hours_times_rate"] == 0
