@@ -43,7 +43,10 @@ def running_totals(
     """Probe columns plus one ``<value>`` column per event value: sums over events
     with the same key and event time <= probe time (0 when none)."""
     spark = probes.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # range partitions: explicit, else bazaar.asof.partitions, else the shuffle default
+    n = num_partitions or int(
+        spark.conf.get("bazaar.asof.partitions", None) or spark.conf.get("spark.sql.shuffle.partitions")
+    )
 
     probe_cols = probes.columns
     probe_struct = probes.select(F.struct(*probe_cols).alias("s")).schema["s"].dataType
