@@ -71,3 +71,16 @@ def test_build_writes_every_model_once(spark):
     assert spark.read.parquet(paths["fct_jobs"]).count() == 1500
     assert spark.read.parquet(paths["customer_health_summary"]).count() == 160
     assert m.service_category_performance.count() == 4
+
+
+def test_source_layouts(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        load_sources(spark, SF_SMALL, layout="marketplace")
+    assert load_sources(spark, SF_SMALL, layout="tpch")["jobs"].count() == 1500
+    out = tempfile.mkdtemp(prefix="bazaar-layout-")
+    write_sources(load_sources(spark, SF_SMALL, layout="auto"), out, files_per_table=2)
+    read_back = load_sources(spark, out)  # auto: the marketplace tables are found
+    assert read_back["payouts"].inputFiles() and read_back["payouts"].count() == 1275
