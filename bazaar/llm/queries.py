@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.llm import exact_dedup, simhash, toxicity
+from bazaar.llm import exact_dedup, mixing, packing, simhash, toxicity
 from bazaar.llm.staging import read_table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(read_table(spark, sf_dir, "documents"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
@@ -23,8 +31,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_simhash_near_dedup, op9_exact_dedup, op10_toxicity)}
+    return {f.__name__: f for f in (op2_mixing, op3_packing, op5_simhash_near_dedup, op9_exact_dedup, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact_dedup.EXACT_SQL}
+    return {"op2_mixing": mixing.MIX_SQL, "op9_exact_dedup": exact_dedup.EXACT_SQL}
