@@ -4,7 +4,7 @@ A document is its token ids and id 0. Documents longer than a sequence are cut
 into whole sequences; the first piece takes the rest. Whole pieces fill a sequence
 each. The others are packed by their lengths:
 
-1. Linear grouping: lengths above ``SMALL`` are sorted and cut into groups of equal
+1. Linear grouping: lengths above a threshold are sorted and cut into groups of equal
    cardinality; within a group they count as its longest.
 2. Configurations: with so few sizes, the fewest sequences are a linear programme
    over the sets of sizes that fit, solved by column generation (a simplex over the
@@ -14,6 +14,9 @@ each. The others are packed by their lengths:
 4. Best fit: what rounding down left over, then the small documents, longest
    first, each into the sequence with the least space that holds it.
 
+Rounding costs most where many small sizes share a sequence, so the plan is made
+for several thresholds (``LARGE_SHARES``) and the one with the fewest sequences used.
+
 The plan is made from the histogram of lengths (at most one count per length, so
 it is bounded by the sequence length whatever the input) as runs: documents r to
 r + n of a length go to sequences s to s + n at one offset. Each document finds its
@@ -41,8 +44,10 @@ from pyspark.sql import functions as F
 from bazaar.llm.staging import Scratch
 
 CAPACITY = 2048
-SMALL = 192
-GROUPS = 64
+#: Lengths above a threshold are large. The plan is made for each of these shares of
+#: a sequence, and the one with the fewest sequences is used.
+LARGE_SHARES = (0.25, 0.34, 0.4, 0.44, 0.5)
+GROUPS = 96
 #: Places of a run are looked up by length * RANKS + rank.
 RANKS = 1 << 48
 SPECIAL = "<|endoftext|>"
@@ -193,8 +198,14 @@ class _Runs:
         return out
 
 
-def pack_plan(counts: dict[int, int], capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS):
+def pack_plan(counts: dict[int, int], capacity: int = CAPACITY):
     """Runs (length, first rank, count, first sequence, offset), and the number of sequences."""
+    plans = [grouped_plan(counts, capacity, int(capacity * share), GROUPS) for share in LARGE_SHARES]
+    return min(plans, key=lambda p: p[1])
+
+
+def grouped_plan(counts: dict[int, int], capacity: int, small: int, groups: int):
+    """The plan with lengths above ``small`` as large ones, in ``groups`` groups."""
     plan: list[tuple[int, int, int, int, int]] = []
     by_gap: dict[int, list[tuple[int, int]]] = defaultdict(list)
     used = 0
