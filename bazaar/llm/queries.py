@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.llm import exact_dedup, mixing, packing, simhash, toxicity
+from bazaar.llm import compression, exact_dedup, fuzzy_lines, html_labeller, mixing, neighbours, packing, simhash, toxicity
 from bazaar.llm.staging import read_table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_labeller.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read_table(spark, sf_dir, "documents"))
 
@@ -18,10 +22,22 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op6_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.dedup_lines(read_table(spark, sf_dir, "documents"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.compression_rules(read_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -31,7 +47,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op3_packing, op5_simhash_near_dedup, op9_exact_dedup, op10_toxicity)}
+    every = (
+        op1_html_extraction, op2_mixing, op3_packing, op4_quality_classifier, op5_simhash_near_dedup,
+        op6_fuzzy_line_dedup, op8_quality_rules, op9_exact_dedup, op10_toxicity,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
