@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.llm import compression, exact_dedup, fuzzy_lines, html_labeller, mixing, neighbours, packing, simhash, toxicity
+from bazaar.llm import compression, exact_dedup, fuzzy_lines, html_labeller, mixing, neighbours, packing, repeats, simhash, toxicity
 from bazaar.llm.staging import read_table
 
 
@@ -34,6 +34,10 @@ def op6_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.dedup_lines(read_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_rules(read_table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_html_extraction, op2_mixing, op3_packing, op4_quality_classifier, op5_simhash_near_dedup,
-        op6_fuzzy_line_dedup, op8_quality_rules, op9_exact_dedup, op10_toxicity,
+        op6_fuzzy_line_dedup, op7_suffix_dedup, op8_quality_rules, op9_exact_dedup, op10_toxicity,
     )
     return {f.__name__: f for f in every}
 

@@ -32,10 +32,18 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def bucketed(self, df: DataFrame, name: str, *keys: str) -> DataFrame:
+        """``df`` written once, bucketed by ``keys``: later joins and groups on them need no shuffle of it."""
+        table = f"{name}_{self.root[-32:]}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.format("parquet").option("path", self.path(name)).bucketBy(buckets, *keys).saveAsTable(table)
+        return self.spark.table(table)
+
     def drop(self, *names: str) -> None:
         jvm = self.spark._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name.replace('-', '_')}_{self.root[-32:]}")
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(conf).delete(path, True)
 
