@@ -1,7 +1,8 @@
 """Column-wise construction of the Burrows-Wheeler transform and common prefixes of a collection.
 
 One symbol of every string is inserted per round, from the last to the first. A
-round reads the files of the round before from start to end and writes the next:
+round reads the files of the round before from start to end and writes the next
+(files stay in memory up to ``SPOOL`` bytes and go to the task's disk beyond):
 
 * ``key``: for every suffix in order, its first symbol and the place of the suffix
   that follows it (so keys ascend);
@@ -10,31 +11,36 @@ round reads the files of the round before from start to end and writes the next:
 The place of a new suffix is the number of smaller keys. Its common prefix with its
 neighbours is one more than the least common prefix between the neighbours' rests.
 
-A symbol is ``WIDTH`` bytes, named by rank. A text is entered as ``WIDTH`` strings,
+A symbol is ``WIDTH`` bytes, named by the rank of a 64-bit hash. A text is entered as ``WIDTH`` strings,
 one for each first byte, so that every byte position starts a suffix, and a column is
 inserted ``WIDTH`` times less often than with single bytes.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+from tempfile import SpooledTemporaryFile
 
 import numpy as np
 
 WIDTH = 16
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+SPOOL = 64 << 20
 BLOCK = 64
 
 
 def name_symbols(data: np.ndarray) -> np.ndarray:
-    """For each position, the rank (from 1) of the ``WIDTH`` bytes there; exact. The last WIDTH - 1 have none."""
-    words = np.lib.stride_tricks.sliding_window_view(data, 8).copy().view(">u8").ravel().astype(np.uint64)
-    _, names = np.unique(words, return_inverse=True)
-    names = names.astype(np.int64)
-    pairs = names[:-8] * (int(names.max()) + 1) + names[8:]
-    _, ranks = np.unique(pairs, return_inverse=True)
-    return ranks.astype(np.int64) + 1
+    """For each position, a number from 1 for the ``WIDTH`` bytes there. The last WIDTH - 1 have none."""
+    words = np.lib.stride_tricks.sliding_window_view(data, 8).copy().view(np.uint64).ravel()
+    with np.errstate(over="ignore"):
+        mixed = words * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        joined = (mixed[:-8] * np.uint64(0xD6E8FEB86659FD93)) ^ (mixed[8:] * np.uint64(0xC2B2AE3D27D4EB4F))
+        joined ^= joined >> np.uint64(32)
+    order = np.argsort(joined)
+    ranks = np.empty(len(joined), np.int64)
+    ordered = joined[order]
+    ranks[order] = np.cumsum(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    return ranks
 
 
 class Minima:
@@ -77,15 +83,21 @@ class Minima:
 class Collection:
     """The suffixes inserted so far, in order; ``key`` and ``bwt`` in files, common prefixes as bytes."""
 
-    def __init__(self, folder: str, strings: int):
-        self.folder, self.round, self.size = folder, 0, strings
-        np.arange(strings, dtype=np.int64).tofile(self._path("key"))  # the empty suffixes: symbol 0
-        np.zeros(strings, np.int32).tofile(self._path("bwt"))
+    def __init__(self, strings: int):
+        self.size = strings
+        self.key, self.bwt = self._file(), self._file()
+        self.key.write(np.arange(strings, dtype=np.int64).tobytes())  # the empty suffixes: symbol 0
+        self.bwt.write(np.zeros(strings, np.int32).tobytes())
         self.lcp = np.zeros(strings, np.uint8)
         self.place = np.arange(strings)  # of each string's longest suffix so far
 
-    def _path(self, name: str, ahead: int = 0) -> str:
-        return os.path.join(self.folder, f"{name}-{(self.round + ahead) % 2}")
+    @staticmethod
+    def _file() -> SpooledTemporaryFile:
+        return SpooledTemporaryFile(max_size=SPOOL)
+
+    def close(self) -> None:
+        self.key.close()
+        self.bwt.close()
 
     def insert(self, who: np.ndarray, symbols: np.ndarray) -> None:
         """Put ``symbols`` (one each) in front of the strings ``who``."""
@@ -116,18 +128,18 @@ class Collection:
         ranks = np.full(len(new), self.size, np.int64)
         before, after = np.full(len(new), -1, np.int64), np.full(len(new), -1, np.int64)
         begun, at, last = 0, 0, -1
-        with open(self._path("key"), "rb") as f:
-            while at < self.size:
-                keys = np.fromfile(f, np.int64, min(CHUNK, self.size - at))
-                done = begun + int(np.searchsorted(new[begun:], keys[-1]))
-                here = new[begun:done]
-                r = np.searchsorted(keys, here)
-                ranks[begun:done] = at + r
-                left = np.where(r > 0, keys[r - 1], last)
-                right = keys[r]
-                before[begun:done] = np.where(left >> 32 == here >> 32, left & 0xFFFFFFFF, -1)
-                after[begun:done] = np.where(right >> 32 == here >> 32, right & 0xFFFFFFFF, -1)
-                begun, at, last = done, at + len(keys), keys[-1]
+        self.key.seek(0)
+        while at < self.size:
+            keys = np.frombuffer(self.key.read(8 * min(CHUNK, self.size - at)), np.int64)
+            done = begun + int(np.searchsorted(new[begun:], keys[-1]))
+            here = new[begun:done]
+            r = np.searchsorted(keys, here)
+            ranks[begun:done] = at + r
+            left = np.where(r > 0, keys[r - 1], last)
+            right = keys[r]
+            before[begun:done] = np.where(left >> 32 == here >> 32, left & 0xFFFFFFFF, -1)
+            after[begun:done] = np.where(right >> 32 == here >> 32, right & 0xFFFFFFFF, -1)
+            begun, at, last = done, at + len(keys), keys[-1]
         rest = new[begun:]
         before[begun:] = np.where(last >> 32 == rest >> 32, last & 0xFFFFFFFF, -1)
         return ranks, before, after
@@ -148,26 +160,29 @@ class Collection:
         old[ranks[inside]] = down[inside]
         lcp[~fresh], lcp[fresh] = old, up
         before = np.argsort(spot)
-        with (
-            open(self._path("key"), "rb") as key, open(self._path("bwt"), "rb") as bwt,
-            open(self._path("key", 1), "wb") as key_out, open(self._path("bwt", 1), "wb") as bwt_out,
-        ):
-            for at in range(0, self.size, CHUNK):
-                n = min(CHUNK, self.size - at)
-                keys, marks = np.fromfile(key, np.int64, n), np.fromfile(bwt, np.int32, n)
-                keys += moved[keys & 0xFFFFFFFF]
-                a, b = np.searchsorted(spot[before], (at, at + n))
-                marks[spot[before[a:b]] - at] = symbols[before[a:b]]
-                end = at + n if at + n < self.size else self.size + 1
-                a, b = np.searchsorted(ranks, (at, end))
-                where = ranks[a:b] - at
-                np.insert(keys, where, new[a:b]).tofile(key_out)
-                np.insert(marks, where, 0).tofile(bwt_out)
-        self.lcp, self.size, self.round = lcp, size, self.round + 1
+        key, bwt = self._file(), self._file()
+        self.key.seek(0)
+        self.bwt.seek(0)
+        for at in range(0, self.size, CHUNK):
+            n = min(CHUNK, self.size - at)
+            keys = np.frombuffer(self.key.read(8 * n), np.int64)
+            marks = np.frombuffer(self.bwt.read(4 * n), np.int32).copy()
+            keys = keys + moved[keys & 0xFFFFFFFF]
+            a, b = np.searchsorted(spot[before], (at, at + n))
+            marks[spot[before[a:b]] - at] = symbols[before[a:b]]
+            end = at + n if at + n < self.size else self.size + 1
+            a, b = np.searchsorted(ranks, (at, end))
+            where = ranks[a:b] - at
+            key.write(np.insert(keys, where, new[a:b]).tobytes())
+            bwt.write(np.insert(marks, where, 0).tobytes())
+        self.close()
+        self.key, self.bwt = key, bwt
+        self.lcp, self.size = lcp, size
 
     def following(self) -> np.ndarray:
         """For every suffix, the place of the suffix without its first symbol."""
-        return np.fromfile(self._path("key"), np.int64, self.size) & 0xFFFFFFFF
+        self.key.seek(0)
+        return np.frombuffer(self.key.read(), np.int64) & 0xFFFFFFFF
 
 
 def repeated_windows(data: bytes, starts: np.ndarray, lengths: np.ndarray, window: int) -> list[np.ndarray]:
@@ -185,18 +200,17 @@ def repeated_windows(data: bytes, starts: np.ndarray, lengths: np.ndarray, windo
     phase = np.concatenate([np.arange(min(WIDTH, len(o))) for o in out])
     count = (lengths[text] - phase) // WIDTH  # symbols of each string
     first = starts[text] + phase
-    with tempfile.TemporaryDirectory(prefix="columns-") as folder:
-        suffixes = Collection(folder, len(text))
-        for k in range(1, int(count.max()) + 1):
-            who = np.flatnonzero(count >= k)
-            suffixes.insert(who, names[first[who] + (count[who] - k) * WIDTH])
-        near = suffixes.lcp >= need
-        near[:-1] |= near[1:].copy()  # with the next, as well as with the one before
-        follow, at = suffixes.following(), suffixes.place.copy()
-        for k in range(int(count.max()) - need + 1):
-            live = np.flatnonzero(count - k >= need)
-            hit = live[near[at[live]]]
-            for s in hit.tolist():
-                out[text[s]][phase[s] + k * WIDTH] = True
-            at[live] = follow[at[live]]
+    suffixes = Collection(len(text))
+    for k in range(1, int(count.max()) + 1):
+        who = np.flatnonzero(count >= k)
+        suffixes.insert(who, names[first[who] + (count[who] - k) * WIDTH])
+    near = suffixes.lcp >= need
+    near[:-1] |= near[1:].copy()  # with the next, as well as with the one before
+    follow, at = suffixes.following(), suffixes.place.copy()
+    suffixes.close()
+    for k in range(int(count.max()) - need + 1):
+        live = np.flatnonzero(count - k >= need)
+        for s in live[near[at[live]]].tolist():
+            out[text[s]][phase[s] + k * WIDTH] = True
+        at[live] = follow[at[live]]
     return out

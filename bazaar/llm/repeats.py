@@ -7,7 +7,8 @@
    equal least hashes, so only pieces of one hash can share a window, and counting
    hashes finds the few that matter. Pieces travel as numbers.
 3. A piece that occurs twice as a whole is repeated. Pieces that share a hash but
-   differ are compared exactly: their Burrows-Wheeler transform and common prefixes
+   differ are compared: what two of them can share around the gram of the hash is cut
+   out, and of that the Burrows-Wheeler transform and common prefixes
    are built column by column (``columnwise``), in blocks of whole hash groups; a
    window whose suffix shares ``WINDOW`` bytes with a neighbour is repeated.
 4. A hash with more than ``GROUP`` different pieces (the edge of a passage that very
@@ -40,9 +41,9 @@ GRAM = 128
 #: Different pieces of one hash that are compared in one block.
 GROUP = 2_000
 #: Bytes of pieces in one block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Bytes of texts that are hashed at once.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 PLACE_BITS = 24
 
 U = np.uint64
@@ -89,7 +90,7 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def cut_pieces(texts: list[bytes], window: int = WINDOW, gram: int = GRAM):
-    """Pieces of all texts: (text, first window in the text, windows, hash, ties).
+    """Pieces of all texts: (text, first window in the text, windows, hash, place of its gram in the piece, ties).
 
     ``ties`` says that the least hash occurs at several places of the piece: only
     then can a piece hold the same window twice.
@@ -99,7 +100,7 @@ def cut_pieces(texts: list[bytes], window: int = WINDOW, gram: int = GRAM):
     data = np.frombuffer(b"".join(texts), np.uint8)
     n = len(data) - window + 1
     if n <= 0:
-        return [np.zeros(0, np.int64)] * 5
+        return [np.zeros(0, np.int64)] * 6
     width = window - gram + 1
     hashes = gram_hashes(data, gram)
     # the place in the low bits makes the leftmost of equal hashes the least
@@ -132,6 +133,7 @@ def cut_pieces(texts: list[bytes], window: int = WINDOW, gram: int = GRAM):
         start - (ends - lengths)[text],
         windows,
         hashes[place].view(np.int64)[which],
+        place[which] - start,
         tie[which] | (parts[which] > 1),
     ]
 
@@ -154,7 +156,7 @@ def text_keys(text) -> list:
     return [F.xxhash64(data).alias("t1"), F.xxhash64(data, F.lit("second")).alias("t2")]
 
 
-PIECES = "t1 long, t2 long, start long, windows long, m long, d1 long, d2 long, tie boolean, n long"
+PIECES = "t1 long, t2 long, start long, windows long, m long, place long, d1 long, d2 long, tie boolean, n long"
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +164,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column(2).to_pylist()
         # one text beyond the batch size is hashed by itself, in overlapping parts
         for part, shift, rows in _parts(texts):
-            text, start, windows, m, tie = cut_pieces(part)
+            text, start, windows, m, place, tie = cut_pieces(part)
             d1, d2 = (np.empty(len(text), np.uint64) for _ in range(2))
             for k, (t, s, w) in enumerate(zip(text.tolist(), start.tolist(), windows.tolist(), strict=True)):
                 piece = part[t][s : s + w + WINDOW - 1]
@@ -171,10 +173,10 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(row), batch.column(1).take(row), pa.array(start + shift), pa.array(windows),
-                    pa.array(m), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(tie.astype(bool)),
+                    pa.array(m), pa.array(place), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(tie.astype(bool)),
                     batch.column(3).take(row),
                 ],
-                names=["t1", "t2", "start", "windows", "m", "d1", "d2", "tie", "n"],
+                names=["t1", "t2", "start", "windows", "m", "place", "d1", "d2", "tie", "n"],
             )
 
 
@@ -194,7 +196,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(batch.num_rows):
             body = batch.column("body")[k].as_buffer()
             want = batch.column("want")[k].as_py()
-            cols = {c: [w[c] for w in want] for c in ("start", "windows", "m", "single", "hot")}
+            cols = {c: [w[c] for w in want] for c in ("start", "windows", "m", "place", "tie", "single", "hot")}
             data = [
                 body.slice(s, n + WINDOW - 1).to_pybytes() for s, n in zip(cols["start"], cols["windows"], strict=True)
             ]
@@ -202,9 +204,10 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array(np.full(len(want), t1[k])), pa.array(np.full(len(want), t2[k])),
                     pa.array(cols["start"], pa.int64()), pa.array(cols["m"], pa.int64()),
+                    pa.array(cols["place"], pa.int64()), pa.array(cols["tie"], pa.bool_()),
                     pa.array(cols["single"], pa.bool_()), pa.array(cols["hot"], pa.bool_()), pa.array(data, pa.binary()),
                 ],
-                names=["t1", "t2", "start", "m", "single", "hot", "bytes"],
+                names=["t1", "t2", "start", "m", "place", "tie", "single", "hot", "bytes"],
             )
 
 
@@ -219,16 +222,55 @@ def _span_batch(t1: list, t2: list, begin: list, end: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=["t1", "t2", "begin", "end"])
 
 
+def _shared(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return int((np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)).argmax())
+
+
+def _most_shared(texts: list[bytes]) -> list[int]:
+    """For each text the longest prefix that it shares with another: with a neighbour in order."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    most = [0] * len(texts)
+    for i, j in zip(order, order[1:], strict=False):
+        n = _shared(texts[i], texts[j])
+        most[i], most[j] = max(most[i], n), max(most[j], n)
+    return most
+
+
+def _trimmed(group: list[tuple]) -> list[tuple]:
+    """The parts of a hash group's pieces that can hold a shared window.
+
+    Two pieces that share a window agree around the gram, to its left and to its
+    right. What no other piece shares is cut off; a piece that is left with less than
+    a window is dropped: nothing can match it.
+    """
+    if any(row["tie"] for row in group):
+        return [(row["t1"], row["t2"], row["start"], row["single"], row["bytes"]) for row in group]
+    left = _most_shared([row["bytes"][: row["place"]][::-1] for row in group])
+    right = _most_shared([row["bytes"][row["place"] + GRAM :] for row in group])
+    out = []
+    for row, before, after in zip(group, left, right, strict=True):
+        first = row["place"] - before
+        body = row["bytes"][first : row["place"] + GRAM + after]
+        if len(body) >= WINDOW:
+            out.append((row["t1"], row["t2"], row["start"] + first, row["single"], body))
+    return out
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces sorted by hash to spans of repeated windows, in blocks of whole hash groups."""
     held: list[tuple] = []
+    group: list[dict] = []
     size = 0
 
     def flush() -> pa.RecordBatch:
         lengths = np.array([len(r[4]) for r in held], np.int64)
         found = repeated_windows(b"".join(r[4] for r in held), np.cumsum(lengths) - lengths, lengths, WINDOW)
         out: tuple[list, list, list, list] = ([], [], [], [])
-        for (t1, t2, start, _, _, single), marks in zip(held, found, strict=True):
+        for (t1, t2, start, single, _), marks in zip(held, found, strict=True):
             if single:
                 for a, b in zip(*(x.tolist() for x in _spans_of(marks)), strict=True):
                     for column, value in zip(out, (t1, t2, start + a, start + b - 1 + WINDOW), strict=True):
@@ -236,13 +278,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _span_batch(*out)
 
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("t1", "t2", "start", "m", "bytes", "single")]
-        for row in zip(*cols, strict=True):
-            if held and size > BLOCK_BYTES and row[3] != held[-1][3]:
-                yield flush()
-                held, size = [], 0
-            held.append(row)
-            size += len(row[4])
+        for row in batch.select(["t1", "t2", "start", "m", "place", "tie", "single", "bytes"]).to_pylist():
+            if group and row["m"] != group[0]["m"]:
+                parts, group = _trimmed(group), []
+                held += parts
+                size += sum(len(part[4]) for part in parts)
+                if size > BLOCK_BYTES:
+                    yield flush()
+                    held, size = [], 0
+            group.append(row)
+    held += _trimmed(group) if group else []
     if held:
         yield flush()
 
@@ -320,7 +365,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .groupBy("m", "d1", "d2")
         .agg(
             F.sum("n").alias("occurs"), F.max("tie").alias("tie"), F.first("t1").alias("t1"), F.first("t2").alias("t2"),
-            F.first("start").alias("start"), F.first("windows").alias("windows"),
+            F.first("start").alias("start"), F.first("windows").alias("windows"), F.first("place").alias("place"),
         ),
         "distinct",
     )
@@ -331,11 +376,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .select("m", (F.col("different") > GROUP).alias("hot"))
     )
     wanted = distinct.join(groups, "m").select(
-        "t1", "t2", F.struct("start", "windows", "m", (F.col("occurs") == 1).alias("single"), "hot").alias("want")
+        "t1", "t2", F.struct("start", "windows", "m", "place", "tie", (F.col("occurs") == 1).alias("single"), "hot").alias("want")
     )
     per_text = wanted.groupBy("t1", "t2").agg(F.collect_list("want").alias("want"))  # at most the pieces of one text
     slices = texts.select("t1", "t2", "body").join(per_text, ["t1", "t2"]).mapInArrow(
-        _slices, "t1 long, t2 long, start long, m long, single boolean, hot boolean, bytes binary"
+        _slices, "t1 long, t2 long, start long, m long, place long, tie boolean, single boolean, hot boolean, bytes binary"
     )
     slices = scratch.table(slices, "slices")
     grouped = slices.where("NOT hot").repartition(buckets, "m").sortWithinPartitions("m")
