@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm.html_blocks import Block, blocks_of
+from bazaar.llm.staging import smallest_hashes
 
 TRAIN_PAGES = 300
 #: Longest page, in characters of markup, that training takes. Extraction has no such bound.
@@ -325,15 +326,12 @@ def made_page(texts: list[str], rng: np.random.Generator) -> str:
 
 def fit(pages: DataFrame, rows: int = TRAIN_PAGES) -> Labeller:
     """Train on at most ``rows`` pages, those with the smallest hashes, and as many made ones."""
-    sample = (
-        pages.where(F.col("html").isNotNull() & (F.length("html") <= TRAIN_CHARS))
-        .select("html", F.xxhash64("html").alias("k"))
-        .groupBy("k")
-        .agg(F.first("html").alias("html"))
-        .orderBy("k")
-        .limit(rows)
-        .collect()
+    usable = pages.where(F.col("html").isNotNull() & (F.length("html") <= TRAIN_CHARS)).select(
+        "html", F.xxhash64("html").alias("k")
     )
+    keys = smallest_hashes(usable.select("k").distinct(), F.col("k"), rows)  # numbers only; the few pages come after
+    sample = usable.join(F.broadcast(keys), "k").groupBy("k").agg(F.first("html").alias("html")).collect()
+    sample.sort(key=lambda r: r["k"])
     read = [blocks_of(r["html"]) for r in sample]
     read = [p for p in read if p]
     texts = [b.text.replace("{}", "") for p in read for b in p] or list(FILLER)

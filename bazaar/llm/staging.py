@@ -17,24 +17,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 class Scratch:
     """Tables of one run, written once under the shared checkpoint folder.
 
-    Writing a table cuts lineage: later jobs read files that survive the loss of
-    any executor. ``drop`` deletes a table that no later step reads.
+    Writing a table cuts lineage: later jobs read files that survive the loss of any
+    executor. ``drop`` deletes tables that no later step reads, ``keep`` all but those
+    that the returned frame reads.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+        self.id = uuid.uuid4().hex
+        self.root = f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{self.id}"
+        self.names: dict[str, str | None] = {}  # and the table of the catalog, if it is one
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
+        self.names[name] = None
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def bucketed(self, df: DataFrame, name: str, *keys: str) -> DataFrame:
         """``df`` written once, bucketed by ``keys``: later joins and groups on them need no shuffle of it."""
-        table = f"{name}_{self.root[-32:]}"
+        table = self.names[name] = f"{name}_{self.id}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         df.write.format("parquet").option("path", self.path(name)).bucketBy(buckets, *keys).saveAsTable(table)
         return self.spark.table(table)
@@ -43,10 +47,14 @@ class Scratch:
         jvm = self.spark._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name.replace('-', '_')}_{self.root[-32:]}")
+            if table := self.names.pop(name, None):
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(conf).delete(path, True)
 
+    def keep(self, *names: str) -> None:
+        self.drop(*[n for n in self.names if n not in names])
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -57,6 +65,24 @@ def doc_fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
 
 
+def smallest_hashes(keys: DataFrame, hashed: Column, rows: int) -> DataFrame:
+    """At most ``rows`` rows of ``keys``, those with the smallest 64-bit hash.
+
+    A threshold that about twice as many rows pass is applied before the ordering, so
+    what is ordered is bounded by ``rows`` and not by the number of partitions.
+    """
+    n = keys.count()
+    share = min(1.0, (2 * rows + 1_000) / max(n, 1))
+    bound = min(int(share * (1 << 63)), (1 << 63) - 1)
+    return (
+        keys.withColumn("_hash", hashed.bitwiseAND(F.lit((1 << 63) - 1)))
+        .where(F.col("_hash") <= F.lit(bound))
+        .orderBy("_hash", *keys.columns)
+        .limit(rows)
+        .drop("_hash")
+    )
+
+
 def row_key(df: DataFrame) -> Column:
     """A 64-bit content key over every column; rows with equal keys are repeats."""
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])

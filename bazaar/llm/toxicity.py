@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.llm.staging import doc_fold
+from bazaar.llm.staging import doc_fold, smallest_hashes
 
 #: Bound on the labelled rows that the model is fitted on.
 TRAIN_ROWS = 16_000
@@ -235,9 +235,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, held_out, row
         labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
         .groupBy("doc_id")
         .agg(F.max(target).cast("int").alias("y"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
     )
+    ids = smallest_hashes(ids, F.xxhash64("doc_id"), rows)
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y")
 
 
