@@ -35,7 +35,7 @@ def connected_components(links: DataFrame, scratch: Scratch, label: str = "cc",
     edges = scratch.table(edges, f"{label}-0")
     state = None
     for k in range(1, max_rounds + 1):
-        after = _star(_star(edges, large=True).distinct(), large=False).where("u <> v").distinct()
+        after = _star(_star(edges, large=True).where("u <> v"), large=False).where("u <> v").distinct()
         edges = scratch.table(after, f"{label}-{k}")
         scratch.drop(f"{label}-{k - 1}")
         now = edges.agg(
