@@ -171,6 +171,7 @@ def mix(sizes: DataFrame, limit: int = LIMIT, scratch: Scratch | None = None) ->
         scratch.drop(f"level-{level - 1}")
         if state.where("NOT done").isEmpty():
             break
+    scratch.drop("sources", "ranked")
     return state.select("source", "source_size", "target", "repeats", F.col("low").alias("cut"))
 
 

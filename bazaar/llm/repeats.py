@@ -410,5 +410,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     results = texts.select("t1", "t2", "body").join(per_text, ["t1", "t2"], "left").mapInArrow(_cut_out, RESULT)
     results = scratch.table(results, "results")
-    scratch.drop("texts", "shared", "distinct", "slices", "compared", "windows")
+    scratch.keep("results")
     return rows.select("doc_id", "t1", "t2").join(results, ["t1", "t2"]).drop("t1", "t2")

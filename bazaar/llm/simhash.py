@@ -211,8 +211,6 @@ def near_links(nodes: DataFrame, distance: int, scratch: Scratch, parts: int = P
         .withColumn("component", F.coalesce("component", "fp")),
         "labelled",
     )
-    scratch.drop("counted")
-
     masks = [masks_within(g, distance) for g in groups]
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,6 +283,7 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = 3, distance: int = 3,
     )
     least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_fp = scratch.table(labelled.join(least, "component").select("fp", "component_id"), "by-fp")
+    scratch.keep("rows", "by-fp")
     return rows.join(by_fp, "fp")
 
 
