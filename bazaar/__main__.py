@@ -36,14 +36,13 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name}\t{path}")
         return 0
     if args.command == "test":
-        results = quality.test_summary(Marketplace.load(spark, args.source).for_test_run())
+        results = quality.test_summary(Marketplace.load(spark, args.source))
         if args.output:
             results.write.mode("overwrite").parquet(args.output)
-            failed = spark.read.parquet(args.output).where("NOT passed").count()
-        else:
-            failing = results.where("NOT passed")
-            failing.show(300, truncate=False)
-            failed = failing.count()
+        failing = results.where("NOT passed").collect()  # at most one row per test
+        for row in failing:
+            print(*row, sep="\t")
+        failed = len(failing)
         print(f"{quality.declared_test_count()} tests, {failed} failing")
         return 1 if failed else 0
     queries()[args.name](spark, args.source).write.mode("overwrite").parquet(args.output)

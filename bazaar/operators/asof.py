@@ -1,24 +1,17 @@
 """Skew-safe as-of running totals: for each probe, sums of earlier events of its key.
 
 ``running_totals`` answers, for every probe row (key k, time t), the sums of
-event values with key k and event time <= t. This is a range (theta) join,
-but it emits no pairs and puts no key group into a single task:
+event values with key k and event time <= t. This is a range (theta) join, but it
+emits no pairs, puts no key group into a single task, and is one lazy plan:
 
-1. Events and probes are unioned and range-partitioned on
-   (key, time, kind, id). The unique id makes the sort key total, so a key
-   holding a third of all rows is still cut into many partitions, each a
-   contiguous slice of the global order. The partitioned frame is written
-   to the shared checkpoint folder: the partition number becomes a stored
-   column (stable under re-execution, AQE and lost executors) and the lineage
-   is cut.
-2. Within a partition, a window over (partition, key) gives running sums.
-   The (partition, key) groups are bounded by partition size.
-3. A key that continues from earlier partitions needs the total of its rows
-   there. Only the first key of a partition can continue, so the carry is
-   computed from per-partition boundary rows: at most one row per partition,
-   a proven bound, so those tiny frames are broadcast.
-
-Events sort before probes at equal time, so "<=" includes same-instant events.
+1. Events are summed per (key, time), and probe times are added with zero. Equal
+   times combine map-side, so a key has at most one row per microsecond.
+2. The running sum up to t is the sum of whole days before, of whole seconds before
+   in that day, and of times up to t in that second. Each is a window over a group
+   of bounded size: a key's days, a day's 86,400 seconds, a second's 1,000,000
+   microseconds. A key that holds a third of all rows is spread over its seconds.
+3. Probes take the sum of their (key, time) by an equi join, which adaptive
+   execution splits when a key is hot.
 """
 
 from __future__ import annotations
@@ -26,100 +19,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.session import stage_table
-
 
 def running_totals(
-    probes: DataFrame,
-    events: DataFrame,
-    key: str,
-    probe_time: str,
-    probe_id: str,
-    event_time: str,
-    event_id: str,
-    values: list[str],
-    num_partitions: int | None = None,
+    probes: DataFrame, events: DataFrame, key: str, probe_time: str, event_time: str, values: list[str]
 ) -> DataFrame:
     """Probe columns plus one ``<value>`` column per event value: sums over events
-    with the same key and event time <= probe time (0 when none)."""
-    spark = probes.sparkSession
-    # range partitions: explicit, else bazaar.asof.partitions, else the shuffle default
-    n = num_partitions or int(
-        spark.conf.get("bazaar.asof.partitions", None) or spark.conf.get("spark.sql.shuffle.partitions")
-    )
-
-    probe_cols = probes.columns
-    probe_struct = probes.select(F.struct(*probe_cols).alias("s")).schema["s"].dataType
-    value_types = {v: events.schema[v].dataType for v in values}
-
+    with the same key and event time <= probe time (0 when none, or when the probe's
+    key or time is NULL)."""
+    types = {v: events.schema[v].dataType for v in values}
+    zero = {v: F.lit(0).cast(types[v]) for v in values}
     # a NULL key or time matches nothing, as in an equi/theta join
-    ev = events.where(F.col(key).isNotNull() & F.col(event_time).isNotNull()).select(
-        F.col(key).alias("_k"),
-        F.col(event_time).alias("_t"),
-        F.lit(0).alias("_kind"),
-        F.col(event_id).cast("long").alias("_seq"),
-        *[F.col(v) for v in values],
-        F.lit(None).cast(probe_struct).alias("_probe"),
+    happened = events.where(F.col(key).isNotNull() & F.col(event_time).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(event_time).alias("_t"), *[F.coalesce(v, zero[v]).alias(v) for v in values]
     )
-    pr = probes.select(
-        F.col(key).alias("_k"),
-        F.col(probe_time).alias("_t"),
-        F.lit(1).alias("_kind"),
-        F.col(probe_id).cast("long").alias("_seq"),
-        *[F.lit(None).cast(value_types[v]).alias(v) for v in values],
-        F.struct(*probe_cols).alias("_probe"),
+    asked = probes.where(F.col(key).isNotNull() & F.col(probe_time).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(probe_time).alias("_t"), *[zero[v].alias(v) for v in values]
     )
-    ranged = stage_table(
-        ev.unionByName(pr)
-        .repartitionByRange(n, "_k", "_t", "_kind", "_seq")
-        .withColumn("_part", F.spark_partition_id()),
-        "asof",
+    sums = [F.sum(v).cast(types[v]).alias(v) for v in values]
+    points = (
+        happened.unionByName(asked)
+        .groupBy("_k", "_t")
+        .agg(*sums)
+        .withColumn("_day", F.to_date("_t"))
+        .withColumn("_second", F.hour("_t") * 3600 + F.minute("_t") * 60 + F.second("_t"))
     )
-
-    order = ["_t", "_kind", "_seq"]
-    local_window = Window.partitionBy("_part", "_k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.select(
-        "_part",
-        "_k",
-        "_kind",
-        "_probe",
-        *[F.sum(v).over(local_window).alias(f"_cum_{v}") for v in values],
-    ).where(F.col("_kind") == 1)
-
-    # one row per partition: first/last key and the previous non-empty partition
-    bounds = ranged.groupBy("_part").agg(F.min("_k").alias("_first"), F.max("_k").alias("_last"))
-    bounds = bounds.withColumn("_prev", F.lag("_part").over(Window.orderBy("_part")))
-    # totals of each partition's last key, running over consecutive partitions of that key
-    tails = (
-        ranged.join(F.broadcast(bounds.select("_part", "_last")), "_part")
-        .where(F.col("_k") == F.col("_last"))
-        .groupBy("_part", "_last")
-        .agg(*[F.sum(v).alias(v) for v in values])
-    )
-    tail_run = Window.partitionBy("_last").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
-    tails = tails.select(
-        F.col("_part").alias("_tail_part"),
-        F.col("_last").alias("_tail_key"),
-        *[F.sum(v).over(tail_run).alias(f"_run_{v}") for v in values],
+    upto = Window.unboundedPreceding
+    in_second = Window.partitionBy("_k", "_day", "_second").orderBy("_t").rowsBetween(upto, 0)
+    in_day = Window.partitionBy("_k", "_day").orderBy("_second").rowsBetween(upto, -1)
+    over_days = Window.partitionBy("_k").orderBy("_day").rowsBetween(upto, -1)
+    seconds = points.groupBy("_k", "_day", "_second").agg(*sums)
+    days = seconds.groupBy("_k", "_day").agg(*sums)
+    before = seconds.select("_k", "_day", "_second", *[F.sum(v).over(in_day).alias(f"_s_{v}") for v in values]).join(
+        days.select("_k", "_day", *[F.sum(v).over(over_days).alias(f"_d_{v}") for v in values]), ["_k", "_day"]
     )
-    carry = bounds.join(
-        F.broadcast(tails),
-        (F.col("_tail_part") == F.col("_prev")) & (F.col("_tail_key") == F.col("_first")),
-        "inner",
-    ).select(
-        F.col("_part").alias("_carry_part"),
-        F.col("_first").alias("_carry_key"),
-        *[F.col(f"_run_{v}").alias(f"_carry_{v}") for v in values],
-    )
-
-    joined = local.join(
-        F.broadcast(carry),
-        (F.col("_part") == F.col("_carry_part")) & (F.col("_k") == F.col("_carry_key")),
-        "left",
+    totals = (
+        points.select("_k", "_t", "_day", "_second", *[F.sum(v).over(in_second).alias(v) for v in values])
+        .join(before, ["_k", "_day", "_second"])
+        .select(
+            "_k",
+            "_t",
+            *[
+                (F.col(v) + F.coalesce(f"_s_{v}", zero[v]) + F.coalesce(f"_d_{v}", zero[v])).cast(types[v]).alias(f"_v_{v}")
+                for v in values
+            ],
+        )
     )
-    totals = []
-    for v in values:
-        zero = F.lit(0).cast(value_types[v])
-        total = F.coalesce(F.col(f"_cum_{v}"), zero) + F.coalesce(F.col(f"_carry_{v}"), zero)
-        totals.append(total.alias(v))
-    return joined.select(*[F.col(f"_probe.{c}").alias(c) for c in probe_cols], *totals)
+    joined = probes.join(totals, (F.col(key) == F.col("_k")) & (F.col(probe_time) == F.col("_t")), "left")
+    return joined.select(*probes.columns, *[F.coalesce(f"_v_{v}", zero[v]).alias(v) for v in values])

@@ -107,8 +107,7 @@ PAYOUT_AGG_COLUMNS = ["total_payout_amount_usd", "total_platform_fee_usd", "payo
 def job_financials(jobs: DataFrame, payouts_agg: DataFrame, adjustments_agg: DataFrame) -> DataFrame:
     """Job grain with payout and adjustment roll-ups and net revenue.
 
-    This is ``fct_jobs`` without the descriptive dimension columns; the
-    scorecards read it so that they do not pay for lookups they never use.
+    This is ``fct_jobs`` without the descriptive dimension columns.
     Payout columns stay NULL without a payout; adjustment columns default to
     0 / false; net revenue stays NULL when gross is NULL.
     """
@@ -125,11 +124,6 @@ def job_financials(jobs: DataFrame, payouts_agg: DataFrame, adjustments_agg: Dat
     )
 
 
-def with_service_category(financials: DataFrame, services: DataFrame) -> DataFrame:
-    """job_financials plus the listing's category (the only lookup a scorecard needs)."""
-    return financials.join(services.select("service_id", "service_category"), "service_id", "left")
-
-
 def fct_jobs(financials: DataFrame, services: DataFrame, contractors: DataFrame, users: DataFrame) -> DataFrame:
     """One row per job with payouts, adjustments, net revenue and context."""
     svc = services.select("service_id", "service_category", "hourly_rate_usd", "rate_tier")

@@ -7,14 +7,12 @@ A check reports *failing rows* the way a test query counts them:
 * accepted_values  - distinct non-NULL values outside the accepted list
 * relationships    - child rows whose non-NULL key has no parent row
 
-Plan shape: every not_null and accepted_values test of a model is evaluated
-in **one** aggregate pass over that model (then unpivoted to one row per
-test), uniqueness is a hash aggregation with map-side combine (a key copied
-a billion times collapses per task), and relationships are left-anti joins,
-which AQE can split when one child key is hot. The descriptors below are
-rendered into one Spark SQL statement over one temporary view per model, so
-the driver parses and analyses the whole suite once instead of building a
-few hundred DataFrames through the Python API.
+Plan shape: one pass over each model emits its unique keys and, otherwise, only
+what fails; one exchange, combined map-side, counts the pairs of all models. A
+relationship joins the declared parent's distinct keys in that same pass. Models
+with a join or an aggregate are written once per run before they are tested, so
+none is computed again for each test. The descriptors below are rendered into one
+Spark SQL statement over one temporary view per model.
 """
 
 from __future__ import annotations
@@ -24,6 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.session import RunFolder
 
 # --- fixed values: the declared tests of every model -------------------------
 JOB_STATUSES = ("completed", "canceled_by_customer", "canceled_by_contractor")
@@ -428,7 +427,6 @@ SINGULAR_TESTS = (
 )
 # -----------------------------------------------------------------------------
 
-RESULT_COLUMNS = ("layer", "model", "test", "column_name", "failures")
 DECLARED_KINDS = ("unique", "not_null", "accepted_values", "relationships")
 
 
@@ -436,99 +434,109 @@ def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-# A parent's key set can be read from an upstream model with the same key set:
-# each of these marts is its source model left-joined to other tables, and a
-# left join never drops a row of its left side, so the keys are identical.
-PARENT_KEY_SOURCES = {
-    ("fct_jobs", "job_id"): ("int_jobs_enriched", "job_id"),
-    ("dim_services", "service_id"): ("int_services_enriched", "service_id"),
-    ("dim_contractors", "contractor_id"): ("int_contractor_profiles_enriched", "contractor_id"),
-    ("dim_users", "user_id"): ("int_users_enriched", "user_id"),
-}
+def _failures_sql(spec: ModelTests, kinds: tuple[str, ...], singular: bool, view: str) -> tuple[str | None, list[tuple]]:
+    """(label, value) of everything that the tests of one model count, from one pass over it.
 
-
-def _model_tests_sql(spec: ModelTests, kinds: tuple[str, ...], singular: bool) -> str | None:
-    """All tests of one model from one pass over it, unpivoted to one row per test.
-
-    not_null and singular tests are ``count_if`` cells and accepted_values
-    a distinct count, all in one global aggregate. Each relationship is a
-    left join to the parent's *distinct* keys (row count unchanged) whose
-    misses are counted in the same aggregate, so the model is read once for
-    all of them. Each unique test is an uncorrelated scalar subquery (a
-    grouped count, map-side combined).
+    A row gives its key for each unique test, and otherwise only what fails: one
+    pair per failing test, with the value where values are counted. Clean rows give
+    nothing but keys. Also returns (label, kind, test, column) of every test.
     """
-    cells: list[tuple[str, str]] = []  # (label "layer|test|column", aggregate expression)
+    pairs: list[str] = []
     joins: list[str] = []
+    tests: list[tuple] = []
+
+    def add(kind: str, test: str, column: str | None, value: str, fails: str) -> None:
+        label = f"{spec.layer}|{spec.model}|{test}|{column or ''}"
+        tests.append((label, kind, spec.layer if kind != "singular" else "singular", spec.model, test, column))
+        pair = f"named_struct('label', {_lit(label)}, 'value', CAST({value} AS STRING))"
+        pairs.append(f"CASE WHEN {fails} THEN {pair} END")
+
+    if "unique" in kinds:
+        for c in spec.unique:
+            add("unique", "unique", c, f"m.{c}", f"m.{c} IS NOT NULL")
     if "not_null" in kinds:
-        cells += [(f"{spec.layer}|not_null|{c}", f"count_if(m.{c} IS NULL)") for c in spec.not_null]
+        for c in spec.not_null:
+            add("not_null", "not_null", c, "NULL", f"m.{c} IS NULL")
     if "accepted_values" in kinds:
         for c, values in spec.accepted:
-            allowed = ", ".join(_lit(v) for v in values)
-            cells.append(
-                (f"{spec.layer}|accepted_values|{c}", f"count(DISTINCT CASE WHEN NOT (m.{c} IN ({allowed})) THEN m.{c} END)")
-            )
+            add("accepted_values", "accepted_values", c, f"m.{c}", f"NOT (m.{c} IN ({', '.join(map(_lit, values))}))")
     if "relationships" in kinds:
         for i, (c, parent, pc) in enumerate(spec.relationships):
-            source, source_col = PARENT_KEY_SOURCES.get((parent, pc), (parent, pc))
-            joins.append(f"LEFT JOIN (SELECT DISTINCT {source_col} AS __pk{i} FROM {source}) p{i} ON m.{c} = p{i}.__pk{i}")
-            cells.append((f"{spec.layer}|relationships:{parent}.{pc}|{c}", f"count_if(m.{c} IS NOT NULL AND p{i}.__pk{i} IS NULL)"))
+            # the declared parent's distinct keys: the row count does not change
+            joins.append(f"LEFT JOIN (SELECT DISTINCT {pc} AS __pk{i} FROM {view}{parent}) p{i} ON m.{c} = p{i}.__pk{i}")
+            add("relationships", f"relationships:{parent}.{pc}", c, "NULL", f"m.{c} IS NOT NULL AND p{i}.__pk{i} IS NULL")
     if singular:
-        cells += [
-            (f"singular|{name}|", f"count_if({predicate})")
-            for name, model, predicate, _ in SINGULAR_TESTS
-            if model == spec.model
-        ]
-    scalars: list[tuple[str, str]] = []
-    if "unique" in kinds:
-        for c in spec.unique:
-            scalars.append(
-                (
-                    f"{spec.layer}|unique|{c}",
-                    f"(SELECT count_if(n > 1) FROM (SELECT {c}, count(*) AS n FROM {spec.model} "
-                    f"WHERE {c} IS NOT NULL GROUP BY {c}))",
-                )
-            )
-    if not cells and not scalars:
-        return None
-    if cells:
-        inner = ", ".join(f"CAST({expr} AS BIGINT) AS `{label}`" for label, expr in cells)
-        source = f"(SELECT {inner} FROM {spec.model} m {' '.join(joins)}) agg"
-        select_cells = [f"agg.`{label}`" for label, _ in cells]
-    else:
-        source = "(SELECT 1 AS one) agg"
-        select_cells = []
-    select_cells += [f"CAST({expr} AS BIGINT) AS `{label}`" for label, expr in scalars]
-    labels = ", ".join(f"`{label}`" for label, _ in cells + scalars)
-    return (
-        f"SELECT split(label, '[|]')[0] AS layer, {_lit(spec.model)} AS model, split(label, '[|]')[1] AS test, "
-        f"nullif(split(label, '[|]')[2], '') AS column_name, failures "
-        f"FROM (SELECT {', '.join(select_cells)} FROM {source}) "
-        f"UNPIVOT INCLUDE NULLS (failures FOR label IN ({labels}))"
-    )
-
-
-def suite_sql(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False) -> str:
-    """Spark SQL over the model views for the selected tests: one branch per model."""
-    parts = [_model_tests_sql(spec, kinds, singular) for spec in DECLARED_TESTS]
-    return "\nUNION ALL\n".join(p for p in parts if p)
-
-
-def models_under_test() -> tuple[str, ...]:
+        for name, model, predicate, _ in SINGULAR_TESTS:
+            if model == spec.model:
+                add("singular", name, None, "NULL", predicate)
+    if not pairs:
+        return None, []
+    listed = ",\n  ".join(pairs)
+    sql = f"SELECT inline(filter(array(\n  {listed}), f -> f IS NOT NULL)) FROM {view}{spec.model} m {' '.join(joins)}"
+    return sql, tests
+
+
+def suite_sql(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False, view: str = "") -> str:
+    """One Spark SQL statement over the model views for the selected tests.
+
+    The failing pairs of all models are grouped by (label, value) in one exchange,
+    combined map-side, and then by label. A unique test counts keys found more than
+    once, an accepted_values test distinct values, the others rows.
+    """
+    branches, tests = [], []
+    for spec in DECLARED_TESTS:
+        sql, found = _failures_sql(spec, kinds, singular, view)
+        if sql:
+            branches.append(sql)
+            tests += found
+    text = lambda v: "CAST(NULL AS STRING)" if v is None else _lit(v)
+    listed = ",\n  ".join(f"({', '.join(map(text, t))})" for t in tests)
+    union = "\nUNION ALL\n".join(branches)
+    return f"""
+WITH failing AS (SELECT label, value, count(*) AS n FROM (
+{union}
+) GROUP BY label, value),
+counted AS (SELECT label, count_if(n > 1) AS repeated, count(*) AS different, sum(n) AS found FROM failing GROUP BY label),
+tests AS (SELECT * FROM VALUES
+  {listed} AS t (label, kind, layer, model, test, column_name))
+SELECT t.layer, t.model, t.test, t.column_name,
+       CAST(coalesce(CASE t.kind WHEN 'unique' THEN c.repeated WHEN 'accepted_values' THEN c.different ELSE c.found END, 0)
+            AS BIGINT) AS failures
+FROM tests t LEFT JOIN counted c ON c.label = t.label"""
+
+
+def models_under_test(kinds: tuple[str, ...] = DECLARED_KINDS) -> tuple[str, ...]:
+    """The models that tests of these kinds read, declared parents included."""
     names: list[str] = []
     for spec in DECLARED_TESTS:
-        names.append(spec.model)
-        names += [PARENT_KEY_SOURCES.get((parent, pc), (parent, pc))[0] for _, parent, pc in spec.relationships]
+        if any(getattr(spec, {"accepted_values": "accepted"}.get(k, k)) for k in kinds):
+            names.append(spec.model)
+        if "relationships" in kinds:
+            names += [parent for _, parent, _ in spec.relationships]
     return tuple(dict.fromkeys(names))
 
 
-def declared_test_results(marketplace, kinds: tuple[str, ...] = DECLARED_KINDS) -> DataFrame:
+def declared_test_results(marketplace, kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False) -> DataFrame:
     """Failing-row counts of the declared tests of the selected kinds.
 
-    The suite runs as one Spark SQL statement over one temporary view per
-    model, so the driver parses and analyses it once.
+    The run writes every model that needs a join or an aggregate once, in
+    dependency order, tests the files, and deletes them. What it returns is one row
+    per test (287 at most), held by the driver: the files are gone by then.
     """
-    marketplace.register_views(models_under_test())
-    return marketplace.stg_jobs.sparkSession.sql(suite_sql(kinds))
+    spark = marketplace.stg_jobs.sparkSession
+    names = models_under_test(kinds if not singular else DECLARED_KINDS)
+    with RunFolder(spark, "data-tests") as run:
+        files = marketplace.as_files(run, marketplace.files_for(names))
+        view = f"t{run.path[-32:]}_"
+        files.register_views(names, view)
+        try:
+            found = spark.sql(suite_sql(kinds, singular, view))
+            schema = found.schema
+            rows = found.collect()
+        finally:
+            for name in names:
+                spark.catalog.dropTempView(view + name)
+    return spark.createDataFrame(rows, schema)
 
 
 def singular_test_rows(resolve, name: str) -> DataFrame:
@@ -541,9 +549,7 @@ def singular_test_rows(resolve, name: str) -> DataFrame:
 
 def test_summary(marketplace) -> DataFrame:
     """All 287 declared and singular tests, one row each, with a pass flag."""
-    marketplace.register_views(models_under_test())
-    sql = f"SELECT *, failures = 0 AS passed FROM ({suite_sql(DECLARED_KINDS, singular=True)}) t"
-    return marketplace.stg_jobs.sparkSession.sql(sql)
+    return declared_test_results(marketplace, DECLARED_KINDS, singular=True).withColumn("passed", F.col("failures") == 0)
 
 
 def declared_test_count() -> int:

@@ -4,10 +4,11 @@ Rule: a payout equals gross - gross * commission - refunds + bonuses, counting
 only the job's adjustments dated on or before the payout date, floored at 0
 and rounded to the cent. Adjustments dated later leave the payout unchanged.
 
-The "dated on or before" sums come from ``asof.running_totals`` (a
-range-partitioned running sum), not from joining every adjustment to every
+The "dated on or before" sums come from ``asof.running_totals`` (running sums
+per day, second and microsecond), not from joining every adjustment to every
 payout of its job, so a job with millions of adjustments and payouts neither
-emits pairs nor lands in one task. Money is exact decimal arithmetic.
+emits pairs nor lands in one task. Only payouts of jobs that have an adjustment
+enter it; the others take zeros. Money is exact decimal arithmetic.
 """
 
 from __future__ import annotations
@@ -29,30 +30,38 @@ def reconcile_payouts(payouts: DataFrame, jobs: DataFrame, adjustments: DataFram
     events = adjustments.select(
         "job_id",
         "adjusted_at",
-        "adjustment_id",
-        F.when(F.col("is_refund"), F.col("adjustment_amount_usd")).alias("refunds"),
-        F.when(F.col("is_goodwill_bonus"), F.col("adjustment_amount_usd")).alias("bonuses"),
+        F.when(F.col("is_refund"), F.col("adjustment_amount_usd")).cast(MONEY_SUM_TYPE).alias("refunds"),
+        F.when(F.col("is_goodwill_bonus"), F.col("adjustment_amount_usd")).cast(MONEY_SUM_TYPE).alias("bonuses"),
         F.lit(1).cast("bigint").alias("n_adjustments"),
     )
-    probes = payouts.join(jobs.select("job_id", "gross_amount_usd"), "job_id", "left").select(
-        "payout_id",
-        "job_id",
-        "contractor_id",
-        "paid_at",
-        "commission_rate",
-        "payout_amount_usd",
-        "gross_amount_usd",
+    adjusted = adjustments.select("job_id").distinct().withColumn("has_adjustment", F.lit(True))
+    probes = (
+        payouts.join(jobs.select("job_id", "gross_amount_usd"), "job_id", "left")
+        .join(adjusted, "job_id", "left")
+        .select(
+            "payout_id",
+            "job_id",
+            "contractor_id",
+            "paid_at",
+            "commission_rate",
+            "payout_amount_usd",
+            "gross_amount_usd",
+            "has_adjustment",
+        )
+    )
+    zero = F.lit(0).cast(MONEY_SUM_TYPE)
+    plain = probes.where(F.col("has_adjustment").isNull()).withColumns(
+        {"refunds": zero, "bonuses": zero, "n_adjustments": F.lit(0).cast("bigint")}
     )
-    totals = running_totals(
-        probes,
+    summed = running_totals(
+        probes.where(F.col("has_adjustment").isNotNull()),
         events,
         key="job_id",
         probe_time="paid_at",
-        probe_id="payout_id",
         event_time="adjusted_at",
-        event_id="adjustment_id",
         values=["refunds", "bonuses", "n_adjustments"],
     )
+    totals = plain.unionByName(summed)
     gross, rate = F.col("gross_amount_usd"), F.col("commission_rate")
     refunds = F.col("refunds").cast(MONEY_SUM_TYPE)
     bonuses = F.col("bonuses").cast(MONEY_SUM_TYPE)

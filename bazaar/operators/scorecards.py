@@ -20,7 +20,6 @@ LOW_ENGAGEMENT_REFUND_PCT = 30
 LOW_ENGAGEMENT_CANCEL_PCT = 40
 HIGH_VALUE_MIN_SPEND = 1000
 HIGH_VALUE_MIN_COMPLETION_PCT = 70
-SEGMENTS = ["suspended", "never_ordered", "at_risk", "low_engagement", "high_value", "healthy"]
 # -----------------------------------------------------------------------------
 
 
@@ -206,8 +205,12 @@ def customer_health_summary(users: DataFrame, job_stats: DataFrame, jobs: DataFr
 
 
 def customers_never_ordered(users: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Users without any job as customer (anti join, no aggregation needed)."""
-    customers = jobs.select(F.col("customer_id").alias("user_id"))
+    """Users without any job as customer.
+
+    Customers are made distinct first, combined map-side, so a customer with a third
+    of all jobs is one row per task on the side that cannot be split.
+    """
+    customers = jobs.select(F.col("customer_id").alias("user_id")).distinct()
     return users.join(customers, "user_id", "left_anti").select("user_id", "signup_at", "account_status", "city")
 
 
@@ -257,6 +260,18 @@ def service_category_supply(services: DataFrame) -> DataFrame:
     )
 
 
+def listing_tier_mix(services: DataFrame) -> DataFrame:
+    """Share of every rate tier that the bucketing produces, per category.
+
+    The supply side keeps ``standard_listing_pct`` as specified, which is always 0;
+    the shares here add up to 100.
+    """
+    tier = F.col("rate_tier")
+    return services.groupBy("service_category").agg(
+        *[ratio_pct(count_where(tier == t), _all()).alias(f"{t}_listing_pct") for t in ("budget", "mid_range", "premium")]
+    )
+
+
 def service_category_performance(demand: DataFrame, supply: DataFrame) -> DataFrame:
     """Demand FULL OUTER supply on category (both sides a few rows)."""
     completed = F.coalesce(F.col("completed_jobs"), F.lit(0))

@@ -6,10 +6,11 @@ on, and nothing executes until an action. Attributes are cached, so two
 consumers of, say, ``int_jobs_enriched`` share one logical plan object and
 Spark can reuse identical exchanges within one query.
 
-When one run writes several marts, ``materialize`` writes a model to the
-shared checkpoint folder and reads it back. Later consumers then start from
-Parquet instead of recomputing the lineage, and a lost executor costs only
-the files it had not yet written.
+When one run writes several marts, ``build`` writes each model once, in
+dependency order, and ``test_run`` does the same in a run folder that is
+deleted afterwards. Later consumers start from Parquet instead of recomputing
+the lineage, and a lost executor costs only the files it had not yet written.
+Neither changes the graph they were called on.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaar.operators import intermediate as im
 from bazaar.operators import marts as mt
 from bazaar.operators import scorecards as sc
-from bazaar.session import checkpoint_dir, stage_table
+from bazaar.session import RunFolder
 from bazaar.sources import load_sources, staged
 
 STAGING = (
@@ -53,20 +54,27 @@ MARTS = (
     "service_category_performance",
 )
 MODELS = STAGING + INTERMEDIATE + MARTS
-# Build order: the lean job fact (read by fct_jobs and three scorecards) is written before them.
-BUILD_ORDER = INTERMEDIATE + MARTS[:3] + ("job_financials",) + MARTS[3:]
-# Models read by many checks of one test run (fct_jobs: ~10 readers), staged once.
-# Models with one or two readers are cheaper to recompute inside the single test
-# query, where Spark reuses their identical shuffle stages.
-SHARED_MODELS = ("fct_jobs",)
-STAGE_MIN_ROWS = 50_000_000
+# Build order: a model after the models it reads.
+BUILD_ORDER = INTERMEDIATE + MARTS
+# Models with a join or an aggregate: a test run writes each once. The others are
+# one projection of a raw table, which a scan computes on the way.
+TESTED_AS_FILES = MARTS[2:]
+# What those models read of each other.
+READS = {
+    "contractor_performance_summary": ("dim_contractors", "fct_jobs"),
+    "customer_health_summary": ("fct_jobs",),
+    "service_category_performance": ("fct_jobs",),
+}
 
 
 class Marketplace:
     """All models over one set of raw tables."""
 
-    def __init__(self, raw: dict[str, DataFrame]):
+    def __init__(self, raw: dict[str, DataFrame], given: dict[str, DataFrame] | None = None):
+        """``given`` models stand for those that would be built from ``raw``."""
         self.raw = raw
+        self.given = dict(given or {})
+        self.__dict__.update(self.given)
 
     @classmethod
     def load(cls, spark: SparkSession, directory: str) -> "Marketplace":
@@ -153,10 +161,6 @@ class Marketplace:
     def job_financials(self) -> DataFrame:
         return mt.job_financials(self.int_jobs_enriched, self.payouts_by_job, self.adjustments_by_job)
 
-    @cached_property
-    def job_financials_by_category(self) -> DataFrame:
-        return mt.with_service_category(self.job_financials, self.int_services_enriched)
-
     @cached_property
     def fct_jobs(self) -> DataFrame:
         return mt.fct_jobs(
@@ -184,7 +188,7 @@ class Marketplace:
     # --- scorecards (D7-D9) and their parts (E3, E7, E9, E10) ---------------
     @cached_property
     def contractor_job_stats(self) -> DataFrame:
-        return sc.contractor_job_stats(self.job_financials)
+        return sc.contractor_job_stats(self.fct_jobs)
 
     @cached_property
     def contractor_service_stats(self) -> DataFrame:
@@ -198,7 +202,7 @@ class Marketplace:
 
     @cached_property
     def customer_job_stats(self) -> DataFrame:
-        return sc.customer_job_stats(self.job_financials)
+        return sc.customer_job_stats(self.fct_jobs)
 
     @cached_property
     def reference_date(self) -> DataFrame:
@@ -214,12 +218,16 @@ class Marketplace:
 
     @cached_property
     def service_category_demand(self) -> DataFrame:
-        return sc.service_category_demand(self.job_financials_by_category)
+        return sc.service_category_demand(self.fct_jobs)
 
     @cached_property
     def service_category_supply(self) -> DataFrame:
         return sc.service_category_supply(self.dim_services)
 
+    @cached_property
+    def listing_tier_mix(self) -> DataFrame:
+        return sc.listing_tier_mix(self.dim_services)
+
     @cached_property
     def service_category_performance(self) -> DataFrame:
         return sc.service_category_performance(self.service_category_demand, self.service_category_supply)
@@ -237,37 +245,34 @@ class Marketplace:
         }
 
     # --- views and materialisation (A7) --------------------------------------
-    def register_views(self, names: tuple[str, ...] = MODELS) -> None:
-        """One temporary view per model, named as the model (lazy, like the originals)."""
-        for name in names:
-            self.model(name).createOrReplaceTempView(name)
-
-    def stage_models(self, names: tuple[str, ...]) -> "Marketplace":
-        """Compute each named model once into the shared checkpoint folder.
+    def register_views(self, names: tuple[str, ...] = MODELS, prefix: str = "") -> None:
+        """One temporary view per model, named as the model (lazy, like the originals).
 
-        Names must be in dependency order; each later model is then built on
-        the stored copies of earlier ones, so a job that reads many models (the
-        full test run) computes every join and aggregate once, and its lineage
-        starts at the checkpoint files. Returns self for chaining.
+        With a ``prefix`` the views of a test run do not replace the caller's own.
         """
         for name in names:
-            self.__dict__[name] = stage_table(self.model(name), name)
-        return self
+            self.model(name).createOrReplaceTempView(prefix + name)
 
-    def for_test_run(self) -> "Marketplace":
-        """Stage the shared models when the data is large enough to pay for it.
+    def replaced(self, models: dict[str, DataFrame]) -> "Marketplace":
+        """A new graph over the same raw tables in which ``models`` are given."""
+        return Marketplace(self.raw, {**self.given, **models})
 
-        Below ``bazaar.stage.minRows`` jobs (default 50 million) one test query
-        that recomputes fct_jobs per reader, with Spark reusing the identical
-        shuffle stages, is cheaper than an extra write and read; above it the
-        repeated joins dominate. The row count is a scalar job that Parquet
-        answers mostly from file footers.
+    @staticmethod
+    def files_for(names: tuple[str, ...]) -> tuple[str, ...]:
+        """Of the models that a test run writes, those that ``names`` need, in dependency order."""
+        wanted = set(names).union(*(READS.get(n, ()) for n in names))
+        return tuple(n for n in TESTED_AS_FILES if n in wanted)
+
+    def as_files(self, run: RunFolder, names: tuple[str, ...] = TESTED_AS_FILES) -> "Marketplace":
+        """A new graph in which the named models are tables of ``run``, each computed once.
+
+        Names are in dependency order; a later model is built on the files of the
+        earlier ones.
         """
-        spark = self.stg_jobs.sparkSession
-        threshold = int(spark.conf.get("bazaar.stage.minRows", str(STAGE_MIN_ROWS)))
-        if self.stg_jobs.count() >= threshold:
-            self.stage_models(SHARED_MODELS)
-        return self
+        graph = self.replaced({})
+        for name in names:
+            graph.__dict__[name] = run.table(graph.model(name), name)
+        return graph
 
     def build(self, target_dir: str, names: tuple[str, ...] = BUILD_ORDER) -> dict[str, str]:
         """Write every named model as Parquet under ``target_dir``, in dependency order.
@@ -276,22 +281,16 @@ class Marketplace:
         the written table instead of recomputing its lineage (table
         materialisation of the whole graph). Returns model -> path.
         """
-        paths = {}
+        graph, paths = self.replaced({}), {}
         for name in names:
-            self.materialize(name, target_dir)
             paths[name] = os.path.join(target_dir, "models", name)
+            df = graph.model(name)
+            df.write.mode("overwrite").parquet(paths[name])
+            graph.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(paths[name])
         return paths
 
-    def materialize(self, name: str, directory: str | None = None) -> DataFrame:
-        """Write a model as Parquet under the shared checkpoint folder and read it back.
-
-        Replaces the cached attribute, so later models build on the files.
-        """
-        df = self.model(name)
-        spark = df.sparkSession
-        base = directory or checkpoint_dir(spark)
-        path = os.path.join(base, "models", name)
-        df.write.mode("overwrite").parquet(path)
-        stored = spark.read.parquet(path)
-        self.__dict__[name] = stored
-        return stored
+    @classmethod
+    def built(cls, spark: SparkSession, directory: str, target_dir: str, names: tuple[str, ...] = BUILD_ORDER):
+        """The graph over ``directory`` that reads the models written by ``build``."""
+        graph = cls.load(spark, directory)
+        return graph.replaced({n: spark.read.parquet(os.path.join(target_dir, "models", n)) for n in names})

@@ -51,8 +51,10 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is
-    unset, as in local tests, a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster names it), or from the folder
+    the session was given. Only on a local master, where one machine holds
+    everything, is a scratch folder made when neither is set; on a cluster that
+    would be a different disk for every executor, so it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -61,20 +63,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
     local = tempfile.mkdtemp(prefix="bazaar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def stage_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+class RunFolder:
+    """Tables of one run, under a folder of its own in the shared checkpoint folder.
 
-    One job (a reliable RDD checkpoint computes its input twice unless
-    persisted), columnar and compressed; the returned frame's lineage starts
-    at the files, so later stages neither recompute ``df`` nor lose it with an
-    executor.
+    Leaving the ``with`` block deletes the folder, so results must have been read or
+    written elsewhere by then. The run's id in the path keeps concurrent runs apart.
     """
-    spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "staged", f"{label}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.path = f"{checkpoint_dir(spark).rstrip('/')}/runs/{label}-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> "RunFolder":
+        return self
+
+    def __exit__(self, *_) -> None:
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as Parquet and read it back: its lineage then starts at the files."""
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")

@@ -1,6 +1,6 @@
 """Raw marketplace tables: schemas, readers, writers and test fixtures."""
 
-from bazaar.sources.catalog import load_sources, read_raw, staged, write_sources
+from bazaar.sources.catalog import load_sources, read_bucketed, read_raw, staged, write_bucketed, write_sources
 from bazaar.sources.schemas import RAW_SCHEMAS, TABLE_NAMES
 
-__all__ = ["load_sources", "read_raw", "staged", "write_sources", "RAW_SCHEMAS", "TABLE_NAMES"]
+__all__ = ["load_sources", "read_bucketed", "read_raw", "staged", "write_bucketed", "write_sources", "RAW_SCHEMAS", "TABLE_NAMES"]

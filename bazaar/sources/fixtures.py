@@ -240,3 +240,19 @@ def derive_sources(src: TpchInputs) -> dict[str, DataFrame]:
         "adjustments": adjustments(src, ledger),
         "payouts": payouts(src, ledger),
     }
+
+
+def spoiled(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The raw tables with a few rows that break the singular tests, by fixed rules.
+
+    Jobs with job_id % 97 = 5 complete an hour before they are requested; adjustments
+    with adjustment_id % 14 = 0 are negative.
+    """
+    hour_before = F.timestamp_add("HOUR", F.lit(-1), F.col("job_requested_at"))
+    completed_at = F.when(F.col("job_id") % 97 == 5, hour_before).otherwise(F.col("job_completed_at"))
+    amount = F.when(F.col("adjustment_id") % 14 == 0, -F.col("adjustment_amount")).otherwise(F.col("adjustment_amount"))
+    return {
+        **raw,
+        "jobs": raw["jobs"].withColumn("job_completed_at", completed_at),
+        "adjustments": raw["adjustments"].withColumn("adjustment_amount", amount),
+    }

@@ -15,6 +15,7 @@ batch recomputations over the enriched tables.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,11 +59,14 @@ def start_enrichment(
     incremental run); otherwise the query keeps polling for new files.
     """
     _, model = ENRICH[table]
-    location = checkpoint or os.path.join(checkpoint_dir(spark), "streams", model)
+    sink = os.path.join(sink_dir, model)
+    # progress belongs to one source and one sink: another pair must not resume from it
+    pair = hashlib.sha256(f"{source_dir}|{sink}".encode()).hexdigest()[:16]
+    location = checkpoint or os.path.join(checkpoint_dir(spark), "streams", f"{model}-{pair}")
     writer = (
         enriched_stream(spark, table, source_dir)
         .writeStream.format("parquet")
-        .option("path", os.path.join(sink_dir, model))
+        .option("path", sink)
         .option("checkpointLocation", location)
         .outputMode("append")
     )

@@ -101,9 +101,9 @@ UNION ALL SELECT 'adjustments_job_id_in_jobs', count(*) FROM stg_adjustments a
 UNION ALL SELECT 'payouts_job_id_in_jobs', count(*) FROM stg_payouts p
   WHERE NOT EXISTS (SELECT 1 FROM stg_jobs j WHERE j.job_id = p.job_id)
 UNION ALL SELECT 'adjustment_amount_non_negative',
-  count(*) FILTER (WHERE NOT coalesce(adjustment_amount >= 0, false)) FROM stg_adjustments
+  count(*) FILTER (WHERE NOT coalesce(adjustment_amount >= 0 AND NOT isnan(adjustment_amount), false)) FROM stg_adjustments
 UNION ALL SELECT 'payout_amount_non_negative',
-  count(*) FILTER (WHERE NOT coalesce(payout_amount >= 0, false)) FROM stg_payouts
+  count(*) FILTER (WHERE NOT coalesce(payout_amount >= 0 AND NOT isnan(payout_amount), false)) FROM stg_payouts
 """
 
 INTEGRITY_RULES = """
@@ -180,7 +180,7 @@ def _profile_sql() -> str:
         for c in cols:
             parts.append(
                 f"SELECT {_q(table)} AS table_name, {_q(c)} AS column_name, any_value(typeof({c})) AS data_type, "
-                f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count, "
+                f"count(*) FILTER (WHERE {c} IS NULL OR CAST({c} AS VARCHAR) = 'nan') AS null_count, count(*) AS row_count, "
                 f"CAST({len(cols)} AS BIGINT) AS column_count, CAST({dup} AS BIGINT) AS duplicate_rows FROM {view}"
             )
     return _union(parts)
@@ -291,6 +291,13 @@ FROM stg_jobs j LEFT JOIN stg_services s ON s.service_id = j.service_id
 """
 
 # selects run after the model CTEs (and RECONCILE_CTES)
+#: The singular tests over raw tables with a few spoiled rows (see ``sources.SPOILED_CTES``).
+SPOILED_SQL: dict[str, str] = {
+    "dq_completion_order_spoiled": _singular_rows("assert_completed_at_after_requested_at"),
+    "dq_adjustment_positive_spoiled": _singular_rows("assert_adjustment_amounts_positive"),
+    "dq_refund_non_negative_spoiled": _singular_rows("assert_refund_amounts_non_negative"),
+}
+
 CHECK_SQL: dict[str, str] = {
     "dq_unique": _union(_unique_sql()),
     "dq_not_null": _union(_not_null_sql()),

@@ -111,3 +111,15 @@ raw_payouts AS (
     FROM fx_ledger WHERE completed
 )
 """
+
+SPOILED_CTES = (
+    SOURCE_CTES.replace("raw_jobs AS (", "clean_jobs AS (").replace("raw_adjustments AS (", "clean_adjustments AS (").rstrip()
+    + r""",
+raw_jobs AS (
+    SELECT * REPLACE (CASE WHEN job_id % 97 = 5 THEN job_requested_at - INTERVAL '1' HOUR ELSE job_completed_at END
+                      AS job_completed_at) FROM clean_jobs),
+raw_adjustments AS (
+    SELECT * REPLACE (CASE WHEN adjustment_id % 14 = 0 THEN -adjustment_amount ELSE adjustment_amount END
+                      AS adjustment_amount) FROM clean_adjustments)
+"""
+)

@@ -7,9 +7,11 @@ from conftest import SF_SMALL
 from oracle_compare import compare, duck_connection
 
 import __spark_entry__ as entry
+from bazaar.plans.registry import queries
+from oracle import oracle_queries
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = queries()
+ORACLE = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,12 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.endswith("_spoiled")))
+def test_spoiled_rows_are_reported(spark, name):
+    assert QUERIES[name](spark, SF_SMALL).count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

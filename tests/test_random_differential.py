@@ -3,8 +3,8 @@
 The fixture data is clean (valid enums, no NULL flags, every key resolves).
 Here the raw tables carry NULLs, padded and mixed-case strings, unknown
 enums, orphan and NULL keys, jobs completed before they were requested,
-payout-less completions and commission 1.0. Dimension keys stay unique (the
-models assume it; the unique tests report it otherwise).
+payout-less completions, commission 1.0, and duplicate user, contractor and
+service keys.
 """
 
 from __future__ import annotations
@@ -87,6 +87,9 @@ def _raw(seed: int) -> dict[str, list[tuple]]:
          maybe(_cents(rnd, 0, 80000), 0.05), maybe(pick(["completed", " Pending", "PENDING", "held"]), 0.05))
         for pid in range(1, 71)
     ]
+    users += [(uid, ts(), True, False, "Chicago") for uid in (3, 35)]
+    profiles += [(36, "standard", 0.2, True, True)]
+    services += [(sid, 37, "plumbing", 80.0, ts(), True) for sid in (4, 9)]
     return {
         "users": users,
         "contractor_profiles": profiles,
