@@ -356,7 +356,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .where("total > 1 OR ties")
         .select("m", (F.col("differ") | F.col("ties")).alias("open"))
     )
-    found = scratch.table(cut.join(shared, "m"), "shared")
+    # written before they are joined, so that a very common hash can be split
+    found = scratch.table(cut.join(scratch.table(shared, "hashes"), "m"), "shared")
     scratch.drop("pieces")
 
     # 3. whole pieces that occur twice; the others of an open hash are compared
@@ -375,7 +376,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .where("least = 1 AND (different > 1 OR ties)")
         .select("m", (F.col("different") > GROUP).alias("hot"))
     )
-    wanted = distinct.join(groups, "m").select(
+    wanted = distinct.join(scratch.table(groups, "groups"), "m").select(
         "t1", "t2", F.struct("start", "windows", "m", "place", "tie", (F.col("occurs") == 1).alias("single"), "hot").alias("want")
     )
     per_text = wanted.groupBy("t1", "t2").agg(F.collect_list("want").alias("want"))  # at most the pieces of one text
