@@ -10,8 +10,8 @@ A check reports *failing rows* the way a test query counts them:
 Plan shape: one pass over each model emits its unique keys and, otherwise, only
 what fails; one exchange, combined map-side, counts the pairs of all models. A
 relationship joins the declared parent's distinct keys in that same pass. Models
-with a join or an aggregate are written once per run before they are tested, so
-none is computed again for each test. The descriptors below are rendered into one
+that several tests or scorecards read are written once per run before they are tested,
+so none is computed twice. The descriptors below are rendered into one
 Spark SQL statement over one temporary view per model.
 """
 
@@ -472,7 +472,8 @@ def _failures_sql(spec: ModelTests, kinds: tuple[str, ...], singular: bool, view
     if not pairs:
         return None, []
     listed = ",\n  ".join(pairs)
-    sql = f"SELECT inline(filter(array(\n  {listed}), f -> f IS NOT NULL)) FROM {view}{spec.model} m {' '.join(joins)}"
+    every = f"SELECT inline(array(\n  {listed})) FROM {view}{spec.model} m {' '.join(joins)}"
+    sql = f"SELECT label, value FROM ({every}) WHERE label IS NOT NULL"
     return sql, tests
 
 
@@ -519,8 +520,8 @@ def models_under_test(kinds: tuple[str, ...] = DECLARED_KINDS) -> tuple[str, ...
 def declared_test_results(marketplace, kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False) -> DataFrame:
     """Failing-row counts of the declared tests of the selected kinds.
 
-    The run writes every model that needs a join or an aggregate once, in
-    dependency order, tests the files, and deletes them. What it returns is one row
+    The run writes every model that it reads more than once, in dependency order,
+    and deletes the files afterwards. What it returns is one row
     per test (287 at most), held by the driver: the files are gone by then.
     """
     spark = marketplace.stg_jobs.sparkSession

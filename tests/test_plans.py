@@ -132,7 +132,8 @@ def test_data_tests_scan_each_model_once(no_broadcast, written_sources):
         files = m.as_files(run)
         files.register_views(prefix="planned_")
         plan = _plan(no_broadcast.sql(quality.suite_sql(singular=True, view="planned_")))
-        assert plan.count("FileScan") <= 30
+        # one scan per tested model and parent, and what the models that are read once join
+        assert plan.count("FileScan") <= 38
         assert "Expand" not in plan
         for name in m.files_for(quality.models_under_test()):
             no_broadcast.catalog.dropTempView(f"planned_{name}")
