@@ -3,8 +3,8 @@
 Alternating large-star and small-star rounds: each round replaces links by links
 to the smallest known neighbour, so the rounds grow with the logarithm of the
 longest chain. The smallest neighbour is a map-side combined aggregate and the
-join back is an ordinary equi join, which adaptive execution splits when one node
-has very many links. Each round is a table in the shared folder; the one before
+join back is an ordinary equi join with an exchange of its own on both sides, which
+adaptive execution splits when one node has very many links. Each round is a table in the shared folder; the one before
 the last is deleted.
 """
 
@@ -18,13 +18,17 @@ from bazaar.llm.staging import Scratch
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Links (u, v), u > v, after one round. Large: from the larger neighbours of a node; small: from the smaller."""
+    # another key than the grouping's: else the join would run inside the aggregate's
+    # stage, where the rows of one node cannot be split
+    key = F.col("u").bitwiseXOR(F.lit(1)).alias("k")
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else links
     least = both.groupBy("u").agg(F.min("v").alias("m"))
+    found = least.select(key, "m")
     if large:
         # every larger neighbour v of u points to the least of u and its neighbours
-        joined = both.where("v > u").join(least, "u")
+        joined = both.where("v > u").select(key, "u", "v").join(found, "k")
         return joined.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-    joined = links.join(least, "u")
+    joined = links.select(key, "u", "v").join(found, "k")
     out = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return out.union(least.select("u", F.col("m").alias("v")))
 
