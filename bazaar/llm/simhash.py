@@ -200,7 +200,9 @@ def near_links(nodes: DataFrame, distance: int, scratch: Scratch, parts: int = P
         F.max("fp").alias("h1"),
         F.min_by("fp", F.xxhash64("fp")).alias("h2"),
     )
-    counted = scratch.table(index.join(sizes.where("n > 1"), ["part", "value"], "left"), "counted")
+    # written before they are joined, so that a dense value can be split
+    sizes = scratch.table(sizes.where("n > 1"), "sizes")
+    counted = scratch.table(index.join(sizes, ["part", "value"], "left"), "counted")
     hubs = counted.where("n > 1").select("fp", F.explode(F.array("h0", "h1", "h2")).alias("hub"))
     hub_links = scratch.table(hubs.where((F.col("fp") != F.col("hub")) & close("fp", "hub")).distinct(), "hubs")
     first = connected_components(hub_links.select(F.col("fp").alias("a"), F.col("hub").alias("b")), scratch, "hub-cc")
@@ -260,6 +262,7 @@ def near_links(nodes: DataFrame, distance: int, scratch: Scratch, parts: int = P
     ).select("k.part", "k.value", "fp", "component")
     # probes of a value that only the asker's own component holds are passed over before the pairs are looked at
     held = data.groupBy("part", "value").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+    held = scratch.table(held, "held")
     open_probes = scratch.table(
         asked.join(held, ["part", "value"]).where("c0 <> c1 OR c0 <> qc").select("part", "value", "q", "qc"), "probes"
     )
