@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.llm import compression, exact_dedup, fuzzy_lines, html_labeller, mixing, neighbours, packing, repeats, simhash, toxicity
+from bazaar.llm import (
+    compression,
+    exact_dedup,
+    filter_audit,
+    fuzzy_lines,
+    html_labeller,
+    mixing,
+    neighbours,
+    packing,
+    repeats,
+    signature_trees,
+    simhash,
+    toxicity,
+    whitening,
+)
 from bazaar.llm.staging import read_table
 
 
@@ -50,13 +64,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_trees.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_html_extraction, op2_mixing, op3_packing, op4_quality_classifier, op5_simhash_near_dedup,
         op6_fuzzy_line_dedup, op7_suffix_dedup, op8_quality_rules, op9_exact_dedup, op10_toxicity,
+        op11_embedding_whitening, op12_filter_audit, op13_jaccard_join,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.MIX_SQL, "op9_exact_dedup": exact_dedup.EXACT_SQL}
+    return {
+        "op2_mixing": mixing.MIX_SQL,
+        "op9_exact_dedup": exact_dedup.EXACT_SQL,
+        "op12_filter_audit": filter_audit.AUDIT_SQL,
+    }
