@@ -7,19 +7,25 @@ A check reports *failing rows* the way a test query counts them:
 * accepted_values  - distinct non-NULL values outside the accepted list
 * relationships    - child rows whose non-NULL key has no parent row
 
-Plan shape: one pass over each model emits its unique keys and, otherwise, only
-what fails; one exchange, combined map-side, counts the pairs of all models. A
-relationship joins the declared parent's distinct keys in that same pass. Models
-that several tests or scorecards read are written once per run before they are tested,
-so none is computed twice. The descriptors below are rendered into one
-Spark SQL statement over one temporary view per model.
+Plan shape: one pass over each model gives a test number and a 128-bit hash for each
+key of a unique test and, otherwise, only what fails (a clean row makes nothing else); one
+exchange, combined map-side, counts these 20 bytes for all models. Hashes found more than
+once are looked at again by their values, in a second pass over the models that have any,
+so equal hashes of different values are told apart. A relationship joins the declared
+parent's distinct keys in the first pass. Models that several tests or scorecards read
+are written once per run before they are tested, so none is computed twice. The
+descriptors below are rendered into Spark SQL over one temporary view per model.
+
+``observed_counts`` states the same tests as metrics of a DataFrame that is being written
+(``Marketplace.build``), and ``declared_test_rows`` gives the failing rows of one test.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.session import RunFolder
@@ -434,76 +440,219 @@ def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _failures_sql(spec: ModelTests, kinds: tuple[str, ...], singular: bool, view: str) -> tuple[str | None, list[tuple]]:
-    """(label, value) of everything that the tests of one model count, from one pass over it.
+@dataclass(frozen=True)
+class Test:
+    """One declared or singular test: rows fail where ``fails`` holds for the model ``m``."""
+
+    number: int
+    kind: str
+    layer: str
+    model: str
+    name: str
+    column: str | None
+    fails: str
+    join: str = ""  # what ``fails`` needs beside the model
+
+    @property
+    def by_value(self) -> bool:
+        """Whether it counts values instead of rows."""
+        return self.kind in ("unique", "accepted_values")
+
+
+def tests_of(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False, view: str = "") -> list[Test]:
+    """The selected tests in the order of their declaration. A unique test is asked of every key."""
+    found: list[Test] = []
+
+    def add(kind: str, spec: ModelTests, name: str, column: str | None, fails: str, join: str = "") -> None:
+        layer = "singular" if kind == "singular" else spec.layer
+        found.append(Test(len(found), kind, layer, spec.model, name, column, fails, join))
+
+    for spec in DECLARED_TESTS:
+        if "unique" in kinds:
+            for c in spec.unique:
+                add("unique", spec, "unique", c, f"m.{c} IS NOT NULL")
+        if "not_null" in kinds:
+            for c in spec.not_null:
+                add("not_null", spec, "not_null", c, f"m.{c} IS NULL")
+        if "accepted_values" in kinds:
+            for c, values in spec.accepted:
+                add("accepted_values", spec, "accepted_values", c, f"NOT (m.{c} IN ({', '.join(map(_lit, values))}))")
+        if "relationships" in kinds:
+            for i, (c, parent, pc) in enumerate(spec.relationships):
+                # the declared parent's distinct keys: the row count does not change
+                join = f"LEFT JOIN (SELECT DISTINCT {pc} AS __pk{i} FROM {view}{parent}) p{i} ON m.{c} = p{i}.__pk{i}"
+                add("relationships", spec, f"relationships:{parent}.{pc}", c, f"m.{c} IS NOT NULL AND p{i}.__pk{i} IS NULL", join)
+        if singular:
+            for name, model, predicate, _ in SINGULAR_TESTS:
+                if model == spec.model:
+                    add("singular", spec, name, None, predicate)
+    return found
 
-    A row gives its key for each unique test, and otherwise only what fails: one
-    pair per failing test, with the value where values are counted. Clean rows give
-    nothing but keys. Also returns (label, kind, test, column) of every test.
+
+def key_hash(value: str) -> tuple[str, str]:
+    """Two independent 64-bit hashes of a SQL expression."""
+    return f"xxhash64({value})", f"xxhash64('second', {value})"
+
+
+Hash = Callable[[str], tuple[str, str]]
+
+
+def _by_model(tests: list[Test]) -> dict[str, list[Test]]:
+    models: dict[str, list[Test]] = {}
+    for t in tests:
+        models.setdefault(t.model, []).append(t)
+    return models
+
+
+def _found_sql(model: str, tests: list[Test], view: str, hashed: Hash) -> str:
+    """(t, h1, h2) of everything that the tests of one model count, from one pass over it.
+
+    A row with no failure gives the hash of its unique keys and nothing else.
     """
-    pairs: list[str] = []
-    joins: list[str] = []
-    tests: list[tuple] = []
-
-    def add(kind: str, test: str, column: str | None, value: str, fails: str) -> None:
-        label = f"{spec.layer}|{spec.model}|{test}|{column or ''}"
-        tests.append((label, kind, spec.layer if kind != "singular" else "singular", spec.model, test, column))
-        pair = f"named_struct('label', {_lit(label)}, 'value', CAST({value} AS STRING))"
-        pairs.append(f"CASE WHEN {fails} THEN {pair} END")
-
-    if "unique" in kinds:
-        for c in spec.unique:
-            add("unique", "unique", c, f"m.{c}", f"m.{c} IS NOT NULL")
-    if "not_null" in kinds:
-        for c in spec.not_null:
-            add("not_null", "not_null", c, "NULL", f"m.{c} IS NULL")
-    if "accepted_values" in kinds:
-        for c, values in spec.accepted:
-            add("accepted_values", "accepted_values", c, f"m.{c}", f"NOT (m.{c} IN ({', '.join(map(_lit, values))}))")
-    if "relationships" in kinds:
-        for i, (c, parent, pc) in enumerate(spec.relationships):
-            # the declared parent's distinct keys: the row count does not change
-            joins.append(f"LEFT JOIN (SELECT DISTINCT {pc} AS __pk{i} FROM {view}{parent}) p{i} ON m.{c} = p{i}.__pk{i}")
-            add("relationships", f"relationships:{parent}.{pc}", c, "NULL", f"m.{c} IS NOT NULL AND p{i}.__pk{i} IS NULL")
-    if singular:
-        for name, model, predicate, _ in SINGULAR_TESTS:
-            if model == spec.model:
-                add("singular", name, None, "NULL", predicate)
-    if not pairs:
-        return None, []
-    listed = ",\n  ".join(pairs)
-    every = f"SELECT inline(array(\n  {listed})) FROM {view}{spec.model} m {' '.join(joins)}"
-    sql = f"SELECT label, value FROM ({every}) WHERE label IS NOT NULL"
-    return sql, tests
-
-
-def suite_sql(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False, view: str = "") -> str:
-    """One Spark SQL statement over the model views for the selected tests.
-
-    The failing pairs of all models are grouped by (label, value) in one exchange,
-    combined map-side, and then by label. A unique test counts keys found more than
-    once, an accepted_values test distinct values, the others rows.
+
+    def entry(t: Test) -> str:
+        h1, h2 = hashed(f"m.{t.column}")
+        return f"CASE WHEN {t.fails} THEN named_struct('t', {t.number}, 'h1', {h1}, 'h2', {h2}) END"
+
+    keys = [entry(t) for t in tests if t.kind == "unique"]
+    bad = [t for t in tests if t.kind != "unique"]
+    every = f"array({', '.join(keys)})" if keys else None
+    if bad:
+        values = ", ".join(keys + [entry(t) for t in bad if t.by_value])
+        rows = ", ".join(f"CASE WHEN {t.fails} THEN {t.number} END" for t in bad if not t.by_value)
+        listed = [f"array({values})"] if values else []
+        if rows:
+            listed.append(f"transform(array_compact(array({rows})), t -> named_struct('t', t, 'h1', 0L, 'h2', 0L))")
+        failing = " OR ".join(f"({t.fails})" for t in bad)
+        every = f"CASE WHEN {failing} THEN concat({', '.join(listed)})" + (f" ELSE {every}" if every else "") + " END"
+    joins = " ".join(t.join for t in tests)
+    return f"SELECT t, h1, h2 FROM (SELECT inline({every}) FROM {view}{model} m {joins}) WHERE t IS NOT NULL"
+
+
+def suite_sql(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False, view: str = "", hashed: Hash = key_hash) -> str:
+    """One Spark SQL statement over the model views: (t, h1, h2, n) of all that fails or may fail.
+
+    Everything found in all models is counted in one exchange, combined map-side. Keys of
+    a unique test that occur once are passed over.
     """
-    branches, tests = [], []
-    for spec in DECLARED_TESTS:
-        sql, found = _failures_sql(spec, kinds, singular, view)
-        if sql:
-            branches.append(sql)
-            tests += found
-    text = lambda v: "CAST(NULL AS STRING)" if v is None else _lit(v)
-    listed = ",\n  ".join(f"({', '.join(map(text, t))})" for t in tests)
+    tests = tests_of(kinds, singular, view)
+    branches = [_found_sql(model, own, view, hashed) for model, own in _by_model(tests).items()]
+    unique = ", ".join(str(t.number) for t in tests if t.kind == "unique")
     union = "\nUNION ALL\n".join(branches)
-    return f"""
-WITH failing AS (SELECT label, value, count(*) AS n FROM (
-{union}
-) GROUP BY label, value),
-counted AS (SELECT label, count_if(n > 1) AS repeated, count(*) AS different, sum(n) AS found FROM failing GROUP BY label),
-tests AS (SELECT * FROM VALUES
-  {listed} AS t (label, kind, layer, model, test, column_name))
-SELECT t.layer, t.model, t.test, t.column_name,
-       CAST(coalesce(CASE t.kind WHEN 'unique' THEN c.repeated WHEN 'accepted_values' THEN c.different ELSE c.found END, 0)
-            AS BIGINT) AS failures
-FROM tests t LEFT JOIN counted c ON c.label = t.label"""
+    having = f" HAVING n > 1 OR t NOT IN ({unique})" if unique else ""
+    return f"SELECT t, h1, h2, count(*) AS n FROM (\n{union}\n) GROUP BY t, h1, h2{having}"
+
+
+def _values_sql(tests: list[Test], again: str, view: str, hashed: Hash) -> str:
+    """(t, h1, h2, value, n) of the values whose hashes are in the view ``again``."""
+    branches = []
+    for model, own in _by_model(tests).items():
+        entries = []
+        for t in own:
+            h1, h2 = hashed(f"m.{t.column}")
+            pair = f"named_struct('t', {t.number}, 'h1', {h1}, 'h2', {h2}, 'value', CAST(m.{t.column} AS STRING))"
+            entries.append(f"CASE WHEN {t.fails} THEN {pair} END")
+        branches.append(f"SELECT inline(array_compact(array({', '.join(entries)}))) FROM {view}{model} m")
+    union = "\nUNION ALL\n".join(branches)
+    return f"SELECT t, h1, h2, value, count(*) AS n FROM ({union}) LEFT SEMI JOIN {again} USING (t, h1, h2) GROUP BY t, h1, h2, value"
+
+
+def test_counts(
+    spark, kinds: tuple[str, ...], singular: bool, view: str, run: RunFolder, hashed: Hash = key_hash
+) -> list[tuple[Test, int]]:
+    """Every selected test with its failures, from the model views named ``view`` + model."""
+    tests = tests_of(kinds, singular, view)
+    found = run.table(spark.sql(suite_sql(kinds, singular, view, hashed)), "found")
+    counts = {r.t: r for r in found.groupBy("t").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).collect()}
+    # a test by values with any hash found more than once: its values are told apart
+    by_value = {t.number for t in tests if t.by_value}
+    repeated = found.where("n > 1").where(F.col("t").isin(sorted(by_value)))
+    alike = {r.t: r.n for r in repeated.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    values: dict[int, tuple[int, int]] = {}
+    if alike:
+        again = f"{view}found_again"
+        repeated.select("t", "h1", "h2").createOrReplaceTempView(again)
+        try:
+            exact = spark.sql(_values_sql([t for t in tests if t.number in alike], again, view, hashed))
+            for r in exact.groupBy("t").agg(F.count_if(F.col("n") > 1).alias("repeated"), F.count(F.lit(1)).alias("values")).collect():
+                values[r.t] = (r.repeated, r["values"])
+        finally:
+            spark.catalog.dropTempView(again)
+
+    def failures(t: Test) -> int:
+        row = counts.get(t.number)
+        if row is None:
+            return 0
+        repeats, different = values.get(t.number, (0, 0))
+        if t.kind == "unique":
+            return repeats
+        if t.kind == "accepted_values":
+            return row.groups - alike.get(t.number, 0) + different
+        return row.rows
+
+    return [(t, failures(t)) for t in tests]
+
+
+# --- tests gathered while a model is written ---------------------------------------
+
+
+def observed_counts(model: str) -> dict[Test, list[Column]]:
+    """The not_null, accepted_values and singular tests of a model as metrics of its rows.
+
+    A test counts its failing rows; a test of values also keeps the least and the greatest
+    of them, as a metric must be bounded: equal ones are one value.
+    """
+    tests = [t for t in tests_of(("not_null", "accepted_values"), singular=True) if t.model == model]
+    metrics: dict[Test, list[Column]] = {}
+    for t in tests:
+        fails = F.expr(t.fails.replace("m.", ""))
+        name = f"t{t.number}"
+        metrics[t] = [F.count_if(fails).alias(name)]
+        if t.by_value:
+            value = F.when(fails, F.col(t.column).cast("string"))
+            metrics[t] += [F.min(value).alias(f"{name}_least"), F.max(value).alias(f"{name}_most")]
+    return metrics
+
+
+def observed_failures(df: DataFrame, tests: list[Test], metrics: dict) -> list[tuple[Test, int]]:
+    """Failures of observed tests. ``df`` (the written model) is read only where a column holds several bad values."""
+    found = []
+    for t in tests:
+        n = metrics[f"t{t.number}"] or 0
+        if t.by_value and n:
+            if metrics[f"t{t.number}_least"] == metrics[f"t{t.number}_most"]:
+                n = 1
+            else:
+                n = df.where(F.expr(t.fails.replace("m.", ""))).select(t.column).distinct().count()
+        found.append((t, n))
+    return found
+
+
+RESULT_SCHEMA = "layer string, model string, test string, column_name string, failures long"
+
+
+def as_results(spark, counts: list[tuple[Test, int]]) -> DataFrame:
+    return spark.createDataFrame([(t.layer, t.model, t.name, t.column, int(n)) for t, n in counts], RESULT_SCHEMA)
+
+
+def declared_test_rows(resolve, model: str, test: str, column: str) -> DataFrame:
+    """The failing rows of one declared test.
+
+    A unique or accepted_values test gives the value and its number of rows, a not_null or
+    relationships test the rows of the model.
+    """
+    for t in tests_of():
+        if (t.model, t.name, t.column) == (model, test, column):
+            df = resolve(model)
+            if t.kind == "not_null":
+                return df.where(F.col(column).isNull())
+            if t.kind == "relationships":
+                parent, key = test.removeprefix("relationships:").split(".")
+                keys = resolve(parent).select(F.col(key).alias("__key")).distinct()
+                return df.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("__key"), "left_anti")
+            rows = df.where(F.expr(t.fails.replace("m.", ""))).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+            return rows.where("n_rows > 1") if t.kind == "unique" else rows
+    raise KeyError((model, test, column))
 
 
 def models_under_test(kinds: tuple[str, ...] = DECLARED_KINDS) -> tuple[str, ...]:
@@ -531,13 +680,11 @@ def declared_test_results(marketplace, kinds: tuple[str, ...] = DECLARED_KINDS,
         view = f"t{run.path[-32:]}_"
         files.register_views(names, view)
         try:
-            found = spark.sql(suite_sql(kinds, singular, view))
-            schema = found.schema
-            rows = found.collect()
+            counts = test_counts(spark, kinds, singular, view, run)
         finally:
             for name in names:
                 spark.catalog.dropTempView(view + name)
-    return spark.createDataFrame(rows, schema)
+    return as_results(spark, counts)
 
 
 def singular_test_rows(resolve, name: str) -> DataFrame:

@@ -18,11 +18,12 @@ from __future__ import annotations
 import os
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from bazaar.operators import intermediate as im
 from bazaar.operators import marts as mt
 from bazaar.operators import scorecards as sc
+from bazaar.operators.quality import as_results, observed_counts, observed_failures
 from bazaar.session import RunFolder
 from bazaar.sources import load_sources, staged
 
@@ -283,12 +284,44 @@ class Marketplace:
         """
         graph, paths = self.replaced({}), {}
         for name in names:
-            paths[name] = os.path.join(target_dir, "models", name)
-            df = graph.model(name)
-            df.write.mode("overwrite").parquet(paths[name])
-            graph.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(paths[name])
+            paths.update(graph.build_one(target_dir, name))
         return paths
 
+    def build_tested(self, target_dir: str) -> tuple[dict[str, str], DataFrame]:
+        """``build`` with the not_null, accepted_values and singular tests of every model, gathered as it is written.
+
+        The counts are metrics of the jobs that write the models (of the staging models: of
+        the jobs that read them first), so no model is read again, but for a column that
+        holds several bad values. The metrics stand in the stage that writes, whose tasks count
+        once, whatever is computed again. Returns the paths and one row per test.
+        """
+        graph, paths, counts = self.replaced({}), {}, []
+        watched: list[tuple[str, list, Observation]] = []
+
+        def watch(name: str) -> None:
+            metrics = observed_counts(name)
+            if metrics:
+                seen = Observation(f"tests of {name}")
+                graph.__dict__[name] = graph.model(name).observe(seen, *[m for each in metrics.values() for m in each])
+                watched.append((name, list(metrics), seen))
+
+        for name in STAGING:
+            watch(name)
+        for name in BUILD_ORDER:
+            watch(name)
+            paths.update(graph.build_one(target_dir, name))
+        for name, tests, seen in watched:
+            counts += observed_failures(self.model(name) if name in STAGING else graph.model(name), tests, seen.get)
+        return paths, as_results(self.stg_jobs.sparkSession, counts)
+
+    def build_one(self, target_dir: str, name: str) -> dict[str, str]:
+        """Write one model; from now on the graph reads it from its files."""
+        path = os.path.join(target_dir, "models", name)
+        df = self.model(name)
+        df.write.mode("overwrite").parquet(path)
+        self.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+        return {name: path}
+
     @classmethod
     def built(cls, spark: SparkSession, directory: str, target_dir: str, names: tuple[str, ...] = BUILD_ORDER):
         """The graph over ``directory`` that reads the models written by ``build``."""

@@ -121,3 +121,56 @@ def test_rate_rules_ignore_jobs_without_status(spark):
     rules = {r["check_name"]: r["violations"] for r in integrity.specification_rules(m.staged_sources).collect()}
     assert rules["actual_hours_within_30_pct"] == 0
     assert rules["gross_is_actual_hours_times_rate"] == 0
+
+
+def _messy():
+    rows = _clean_rows()
+    rows["users"] = rows["users"] + [user(2), user(2), user(1)]
+    rows["jobs"] = rows["jobs"] + [
+        job(2, 1, 9, 77, "2024-04-01 10:00:00", "2024-04-01 12:00:00"),
+        job(3, 1, 9, 1, "2024-04-01 10:00:00", status=" Paused"),
+        job(5, 1, 9, 1, "2024-04-01 10:00:00", status="lost"),
+        job(6, 1, 9, 1, "2024-04-01 10:00:00", status="lost"),
+        (4, None, 9, 1, None, None, "completed", 1.0, 1.0, 100.0),
+    ]
+    rows["adjustments"] = rows["adjustments"] + [adjustment(2, 1, "2024-04-02 00:00:00", "partial_refund", -500.0)]
+    return rows
+
+
+def test_equal_hashes_of_different_values_are_told_apart(spark, monkeypatch):
+    """With a hash of two values only, nearly all keys share one; the counts stay the same."""
+    m = marketplace(spark, **_messy())
+    want = _failures(m)
+    assert want[("stg_users", "unique", "user_id")] == 2 and want[("int_jobs_enriched", "accepted_values", "job_status")] == 2
+    poor = lambda v: (f"xxhash64({v}) & 1L", "0L")
+    real = quality.test_counts
+    monkeypatch.setattr(quality, "test_counts", lambda *a: real(*a, hashed=poor))
+    assert _failures(m) == want
+
+
+def test_tests_gathered_while_building(spark, tmp_path):
+    """The metrics of the build are the counts of the test run, and the models are written as before."""
+    for rows in (_clean_rows(), _messy()):
+        m = marketplace(spark, **rows)
+        where = tmp_path / str(len(rows["jobs"]))
+        paths, results = m.build_tested(str(where))
+        got = {(r["model"], r["test"], r["column_name"]): r["failures"] for r in results.collect()}
+        want = {k: v for k, v in _failures(m).items() if k[1] in ("not_null", "accepted_values") or k[1].startswith("assert_")}
+        assert got == want
+        plain = m.build(str(where / "plain"))
+        assert set(plain) == set(paths)
+        for name in ("fct_jobs", "customer_health_summary"):
+            assert sorted(map(str, spark.read.parquet(paths[name]).collect())) == sorted(map(str, spark.read.parquet(plain[name]).collect()))
+
+
+def test_failing_rows_of_declared_tests(spark):
+    m = marketplace(spark, **_messy())
+    rows = lambda *test: quality.declared_test_rows(m.model, *test).collect()
+    assert sorted(map(tuple, rows("stg_users", "unique", "user_id"))) == [(1, 2), (2, 3)]
+    assert [r.job_id for r in rows("stg_jobs", "not_null", "service_id")] == [4]
+    assert sorted(map(tuple, rows("int_jobs_enriched", "accepted_values", "job_status"))) == [("lost", 2), ("paused", 1)]
+    assert [r.job_id for r in rows("fct_jobs", "relationships:dim_users.user_id", "customer_id")] == [2]
+    counts = _failures(m)
+    for t in quality.tests_of():
+        if counts[(t.model, t.name, t.column)]:
+            assert len(rows(t.model, t.name, t.column)) == counts[(t.model, t.name, t.column)]
