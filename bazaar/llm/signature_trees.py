@@ -18,7 +18,7 @@ Jaccard similarity is at least ``PERCENT`` hundredths. Equal sets are one node.
    and remainders allow is less than its least sizes need, or if it is one component.
    A root of over ``CHUNK`` sets is cut into chunks by size, which are nodes of the upper
    level: pairs of chunks are pruned first, and each that is left is a traversal of its own.
-5. Surviving pairs are verified by their texts: first one pair for every two components,
+5. Surviving pairs, of large sets those that a wider bitmap leaves, are verified by their texts: first one pair for every two components,
    then all whose components are still different. Components over all links.
 
 Defined cases: a null, empty or blank text has an empty set, links with nothing and is its own
@@ -29,6 +29,7 @@ result. Texts of any length are whole. Extra columns are not read.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,13 +50,15 @@ FREQUENT = 64
 MOST_FREQUENT = 1 << 20
 #: Words of a signature's bitmap.
 BITMAP = 32
+#: Words of the bitmap that pairs of sets of over so many shingles are looked at by before their texts are.
+WIDE, LARGE_SET = 256, 1_000
 #: Children of a tree's node, and sets that one traversal takes from each side.
 FANOUT = 8
 CHUNK = 1_024
 #: Min-hashes of a set that near copies are first looked up by.
 MIN_HASHES = 3
 #: Bytes of text that are handled at once, and shingles of one counting bucket.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 BUCKET_SHINGLES = 2_000_000
 
 U = np.uint64
@@ -69,34 +72,73 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(32))
 
 
-class Shingles:
-    """Sets of texts, with the hashes of words kept for a while."""
-
-    def __init__(self, size: int = SHINGLE):
-        self.size, self.known = size, {}
-
-    def of(self, text: bytes | None) -> np.ndarray:
-        """Distinct shingle hashes of a UTF-8 text, ascending."""
-        words = (text or b"").lower().split()  # bytes: ASCII case and ASCII white space only
-        if not words:
-            return np.zeros(0, U)
-        if len(self.known) > 1_000_000:
-            self.known.clear()
-        known, digest = self.known, xxhash.xxh3_64_intdigest
-        hashes = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = digest(w)
-            hashes.append(h)
-        one = np.array(hashes, U)
-        size = min(self.size, len(one))
-        n = len(one) - size + 1
-        with np.errstate(over="ignore"):
-            h = np.full(n, U(size))  # a whole short text is no shingle of another length
-            for k in range(size):
-                h = _mixed(h * U(0x9E3779B97F4A7C15) + one[k : k + n])
-        return np.unique(h)
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+#: Words of up to so many bytes are hashed together, longer ones by themselves.
+SHORT_WORD = 64
+_BYTE = _mixed(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
+_POWER = np.array([pow(0xD1342543DE82EF95, k, 1 << 64) for k in range(SHORT_WORD)], U)
+#: Bytes whose words are hashed at once; a longer text is cut at blanks.
+BLOCK_BYTES = 2 << 20
+
+
+def _block_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first byte) of the words of one block, A-Z lower-cased."""
+    blank = _BLANK[data]
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).view(np.int8)))
+    starts, ends = edge[::2], edge[1::2]
+    if not len(starts):
+        return np.zeros(0, U), starts
+    size = ends - starts
+    first = np.cumsum(size) - size
+    letters = _LOWER[data[~blank]]
+    at = np.arange(len(letters)) - np.repeat(first, size)
+    with np.errstate(over="ignore"):
+        h = np.add.reduceat(_BYTE[letters] * _POWER[np.minimum(at, SHORT_WORD - 1)], first)
+        for k in np.flatnonzero(size > SHORT_WORD).tolist():
+            h[k] = xxhash.xxh3_64_intdigest(letters[first[k] : first[k] + size[k]].tobytes())
+        return _mixed(h + size.astype(U) * U(0x9E3779B97F4A7C15)), starts
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first byte) of every word: runs of anything but ASCII white space."""
+    whole, at, found = np.frombuffer(data, np.uint8), 0, []
+    while at < len(whole):
+        end = at + BLOCK_BYTES
+        while end < len(whole) and not _BLANK[whole[end]]:
+            end += 1  # the block ends where a word does
+        h, starts = _block_words(whole[at:end])
+        found.append((h, starts + at))
+        at = end
+    if not found:
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    return np.concatenate([h for h, _ in found]), np.concatenate([x for _, x in found])
+
+
+def _combined(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every ``size`` neighbours."""
+    n = max(len(words) - size + 1, 0)
+    with np.errstate(over="ignore"):
+        h = np.full(n, U(size))  # a whole short text is no shingle of another length
+        for k in range(size):
+            h = _mixed(h * U(0x9E3779B97F4A7C15) + words[k : k + n])
+    return h
+
+
+def shingles(texts: list[bytes | None], size: int = SHINGLE) -> list[np.ndarray]:
+    """Shingle hashes of each UTF-8 text, in order and repeats included."""
+    given = [t or b"" for t in texts]
+    h, starts = word_hashes(b"\n".join(given))
+    ends = np.cumsum([len(t) + 1 for t in given])
+    last = np.searchsorted(starts, ends)  # words before the end of each text
+    every, out, first = _combined(h, size), [], 0
+    for e in last.tolist():
+        n = e - first
+        out.append(every[first : e - size + 1] if n >= size else _combined(h[first:e], n) if n else np.zeros(0, U))
+        first = e
+    return out
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -114,7 +156,7 @@ def batches_of(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> It
 
 
 def frequent_shingles(docs: DataFrame, scratch: Scratch, shingle: int, more_than: int = FREQUENT) -> tuple[np.ndarray, int]:
-    """The first 32 + k bits of shingles in more than ``more_than`` texts, ascending, and k.
+    """The first 32 + k bits of shingles found more than ``more_than`` times, ascending, and k.
 
     Only shingles of the lower half of all hashes are counted: the others come late in the
     order by themselves.
@@ -123,10 +165,9 @@ def frequent_shingles(docs: DataFrame, scratch: Scratch, shingle: int, more_than
     bits = max(4, int(np.ceil(np.log2(max(size / 12 / BUCKET_SHINGLES, 1)))))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Shingles(shingle)
         for _, texts in batches_of(batches):
-            found = [s[s < HALF] for s in map(sets.of, texts)]
-            cut, times = np.unique(np.concatenate(found) >> U(32 - bits), return_counts=True)
+            found = np.concatenate(shingles(texts, shingle))
+            cut, times = np.unique(found[found < HALF] >> U(32 - bits), return_counts=True)
             edges = np.searchsorted(cut >> U(32), np.arange((1 << bits) + 1).astype(U))
             held = np.flatnonzero(np.diff(edges))
             low, many = (cut & U(0xFFFFFFFF)).astype(np.uint32), times > 1
@@ -176,9 +217,9 @@ def prefix_length(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITMAP * 64, bool)
-    bits[(tokens % U(BITMAP * 64)).astype(np.int64)] = True
+def bitmap(tokens: np.ndarray, words: int = BITMAP) -> np.ndarray:
+    bits = np.zeros(words * 64, bool)
+    bits[(tokens % U(words * 64)).astype(np.int64)] = True
     return np.packbits(bits).view(U)
 
 
@@ -186,7 +227,10 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-SETS = "doc_id long, t1 long, t2 long, k1 long, k2 long, n long, prefix array<long>, late int, bits binary, mins array<long>"
+SETS = (
+    "doc_id long, t1 long, t2 long, k1 long, k2 long, n long, prefix array<long>, late int, "
+    "bits binary, wide binary, mins array<long>"
+)
 
 
 def sets_of(docs: DataFrame, frequent: np.ndarray, cut_bits: int, shingle: int) -> DataFrame:
@@ -195,32 +239,41 @@ def sets_of(docs: DataFrame, frequent: np.ndarray, cut_bits: int, shingle: int)
     odd = [U((2 * k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)) for k in range(1, MIN_HASHES + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, often = Shingles(shingle), shared.value
+        often = shared.value
         for batch, texts in batches_of(batches):
-            rows = {c: [] for c in ("k1", "k2", "n", "prefix", "late", "bits", "mins")}
-            for text in texts:
-                s = sets.of(text)
-                key = xxhash.xxh3_128_intdigest(s.tobytes())
-                rows["k1"].append((key >> 64) - (1 << 63))
-                rows["k2"].append((key & ((1 << 64) - 1)) - (1 << 63))
-                rows["n"].append(len(s))
-                late = s >= HALF
-                if len(often):
-                    cut = s >> U(32 - cut_bits)
-                    late |= often[np.minimum(np.searchsorted(often, cut), len(often) - 1)] == cut
-                take = prefix_length(len(s)) if len(s) else 0
-                first = s[~late][:take]
-                rest = s[late][: take - len(first)]
-                rows["prefix"].append(signed(np.concatenate((first, rest))))
-                rows["late"].append(len(rest))
-                rows["bits"].append(bitmap(s).tobytes())
-                with np.errstate(over="ignore"):
-                    rows["mins"].append(signed(np.array([_mixed(s ^ o).min() for o in odd], U)) if len(s) else np.zeros(0, np.int64))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.list_(pa.int64()))
-            made = [pa.array(v, t) for v, t in zip(rows.values(), kinds, strict=True)]
+            sets = [np.unique(x) for x in shingles(texts, shingle)]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            starts = np.cumsum(sizes) - sizes
+            every = np.concatenate(sets)
+            late = every >= HALF
+            if len(often):
+                cut = every >> U(32 - cut_bits)
+                late |= often[np.minimum(np.searchsorted(often, cut), len(often) - 1)] == cut
+            mins = np.zeros((len(sets), MIN_HASHES), np.int64)
+            if len(every):
+                for k, o in enumerate(odd):
+                    mins[sizes > 0, k] = signed(np.minimum.reduceat(_mixed(every ^ o), starts[sizes > 0]))
+            prefix, rest, bits, wide, keys = [], [], [], [], []
+            for x, at, n in zip(sets, starts.tolist(), sizes.tolist(), strict=True):
+                keys.append(xxhash.xxh3_128_digest(x.tobytes()))
+                behind = late[at : at + n]
+                take = prefix_length(n) if n else 0
+                first = x[~behind][:take]
+                after = x[behind][: take - len(first)]
+                prefix.append(signed(np.concatenate((first, after))))
+                rest.append(len(after))
+                bits.append(bitmap(x).tobytes())
+                wide.append(bitmap(x, WIDE).tobytes() if n > LARGE_SET else None)
+            key = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+            ends = np.arange(len(sets) + 1, dtype=np.int32) * MIN_HASHES
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "t1", "t2")] + made, names=[f.split()[0] for f in SETS.split(", ")]
-            )
+                [
+                    *[batch.column(c) for c in ("doc_id", "t1", "t2")], pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()),
+                    pa.array(sizes), pa.array(prefix, pa.list_(pa.int64())), pa.array(rest, pa.int32()), pa.array(bits, pa.binary()),
+                    pa.array(wide, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(mins.ravel())),
+                ],
+                names=[f.split()[0] for f in SETS.split(", ")],
+            )
 
     keyed = docs.select("doc_id", "t1", "t2", "text")
     return keyed.mapInArrow(run, SETS)
@@ -322,18 +375,20 @@ def _ordered(t: pa.Table) -> pa.Table:
 PAIRS = "a long, b long, ca long, cb long, apart long"
 
 
+def _batch(left: pa.Table, right: pa.Table, x: Nodes, y: Nodes, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    """Pairs of rows with their components (ca < cb) and number of bits that only one of them has."""
+    ids, other = np.asarray(left.column("id"))[i], np.asarray(right.column("id"))[j]
+    apart = np.bitwise_count(x.bits[i] ^ y.bits[j]).sum(1, dtype=np.int64)
+    ca, cb = x.c0[i], y.c0[j]
+    columns = (ids, other, np.minimum(ca, cb), np.maximum(ca, cb), apart)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "ca", "cb", "apart"])
+
+
 def _pairs(left: pa.Table, right: pa.Table | None) -> Iterator[pa.RecordBatch]:
-    """Surviving pairs with their components (ca < cb) and number of bits that only one of them has."""
+    """Pairs of leaves that a traversal leaves."""
     x, y = _nodes(left), _nodes(right) if right is not None else None
-    other = right if right is not None else left
     for i, j in traverse(x, y):
-        a, b = left.take(pa.array(i)), other.take(pa.array(j))
-        ca, cb = np.asarray(a.column("component")), np.asarray(b.column("component"))
-        apart = np.bitwise_count(x.bits[i] ^ (y or x).bits[j]).sum(1, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [a.column("id").combine_chunks(), b.column("id").combine_chunks(), pa.array(np.minimum(ca, cb)), pa.array(np.maximum(ca, cb)), pa.array(apart)],
-            names=["a", "b", "ca", "cb", "apart"],
-        )
+        yield _batch(left, right if right is not None else left, x, y or x, i, j)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
@@ -357,12 +412,43 @@ def _runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
+def _pairs_of_small(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of roots of at most ``FANOUT`` sets (trees of one node), for all of them at once."""
+    if not len(starts):
+        return
+    each = sizes * sizes
+    root = np.repeat(np.arange(len(starts)), each)
+    k = np.arange(len(root)) - np.repeat(np.cumsum(each) - each, each)
+    i, j = k // sizes[root], k % sizes[root]
+    i, j = (starts[root] + i)[i < j], (starts[root] + j)[i < j]
+    x = _nodes(t)
+    for at in range(0, len(i), 1 << 16):
+        a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        keep = possible(x, a, x, b, sets=True)
+        yield _batch(t, t, x, x, a[keep], b[keep])
+
+
 def small_trees(rows: DataFrame) -> DataFrame:
     """Pairs of the roots of at most ``CHUNK`` sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _runs(batches, "token"):
-            yield from _pairs(_ordered(group), None)
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+            token = np.asarray(t.column("token"))
+            edges = np.concatenate(([0], np.flatnonzero(token[1:] != token[:-1]) + 1))
+            yield from whole(t, edges)
+            held = t.slice(edges[-1])  # the last root may go on in the next batch
+        if held is not None:
+            yield from whole(held, np.array([0, len(held)]))
+
+    def whole(t: pa.Table, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts, sizes = edges[:-1], np.diff(edges)
+        few = sizes <= FANOUT
+        yield from _pairs_of_small(t, starts[few], sizes[few])
+        for s, n in zip(starts[~few].tolist(), sizes[~few].tolist(), strict=True):
+            yield from _pairs(_ordered(t.slice(s, n)), None)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(run, PAIRS)
@@ -445,7 +531,7 @@ class Join:
         often, bits = frequent_shingles(docs, scratch, shingle, frequent)
         sets = scratch.table(sets_of(keyed, often, bits, shingle), "sets")
         self.rows = scratch.table(sets.select("doc_id", "k1", "k2", "n"), "rows")
-        one = F.struct("doc_id", "t1", "t2", "n", "prefix", "late", "bits", "mins")
+        one = F.struct("doc_id", "t1", "t2", "n", "prefix", "late", "bits", "wide", "mins")
         nodes = (
             sets.where("n > 0")
             .groupBy("k1", "k2")
@@ -454,16 +540,21 @@ class Join:
         )
         self.nodes = scratch.table(nodes, "nodes")
         scratch.drop("sets", "frequent")
+        self._released()
 
     def verified(self, pairs: DataFrame, label: str) -> DataFrame:
         """Those of ``pairs`` (a, b) whose sets link, by their texts."""
         scratch, shingle = self.scratch, self.shingle
-        pairs = scratch.table(pairs.select("a", "b").distinct(), f"{label}-pairs")
+        pairs = scratch.table(self._near_enough(pairs.select("a", "b").distinct()), f"{label}-pairs")
         place = self.nodes.select("id", "doc_id", "t1", "t2")
 
         def bodies(ids: DataFrame, name: str) -> DataFrame:
             wanted = ids.join(place, F.col(name) == F.col("id")).drop("id").withColumnRenamed("doc_id", "_d")
-            found = wanted.join(self.texts, ["t1", "t2"]).where(F.col("_d").eqNullSafe(F.col("doc_id")))
+            # stated over both sides at once, so that it is no key of the join: the join's keys are the buckets'
+            same = F.when(F.col("_d").isNull(), F.col("doc_id").isNull()).otherwise(
+                F.coalesce(F.col("_d").bitwiseXOR(F.col("doc_id")) == 0, F.lit(False))
+            )
+            found = wanted.join(self.texts, ["t1", "t2"]).where(same)
             return found.select(*ids.columns, F.col("text").alias(f"text_{name}"))
 
         left = scratch.table(bodies(pairs, "a"), f"{label}-left")
@@ -471,14 +562,15 @@ class Join:
         right = scratch.table(right, f"{label}-right")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sets, last, other = Shingles(shingle), None, None
+            last, other = None, None
             for batch in batches:
                 keep = np.zeros(batch.num_rows, bool)
+                left, right = (batch.column(c).cast(pa.large_binary()) for c in ("text_a", "text_b"))
                 for k in range(batch.num_rows):
                     b = batch.column("b")[k].as_py()
                     if b != last:
-                        last, other = b, sets.of(batch.column("text_b")[k].as_py().encode())
-                    one = sets.of(batch.column("text_a")[k].as_py().encode())
+                        last, other = b, np.unique(shingles([right[k].as_py()], shingle)[0])
+                    one = np.unique(shingles([left[k].as_py()], shingle)[0])
                     common = len(np.intersect1d(one, other, assume_unique=True))
                     keep[k] = 100 * common >= PERCENT * (len(one) + len(other) - common)
                 mask = pa.array(keep)
@@ -488,6 +580,29 @@ class Join:
         scratch.drop(f"{label}-left", f"{label}-right", f"{label}-pairs")
         return links
 
+    def _near_enough(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` without those of large sets that their wide bitmaps rule out."""
+        large = self.nodes.where("wide IS NOT NULL")
+        side = lambda c: large.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"bits{c}"))
+        both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 2_048):
+                    batch = whole.slice(at, 2_048)
+                    keep = np.ones(batch.num_rows, bool)
+                    k = np.flatnonzero(np.asarray(pc.and_(pc.is_valid(batch.column("bitsa")), pc.is_valid(batch.column("bitsb")))))
+                    if len(k):
+                        found = []
+                        for c, s in enumerate("ab"):
+                            bits = np.frombuffer(b"".join(batch.column(f"bits{s}").take(pa.array(k)).to_pylist()), U)
+                            n = np.asarray(batch.column(f"n{s}").take(pa.array(k)))
+                            found.append(Nodes.of_sets(bits.reshape(-1, WIDE), n, n, np.full(len(n), c)))
+                        keep[k] = possible(found[0], np.arange(len(k)), found[1], np.arange(len(k)), sets=True)
+                    yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
+
+        return both.select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(run, "a long, b long")
+
     def near_copies(self) -> DataFrame:
         """Links of sets with the least set of an equal min-hash, where bitmaps allow one."""
         keys = self.nodes.select("id", "n", "bits", F.posexplode("mins").alias("p", "m"))
@@ -567,19 +682,27 @@ class Join:
         roots = scratch.table(roots.where("c0 <> c1").select("token", "sets"), "roots")
         return entries.join(roots, "token")
 
+    def _released(self) -> None:
+        """Shuffle files whose frames are gone are deleted when the driver collects its garbage: now, not at some time."""
+        gc.collect()
+        self.scratch.spark._jvm.System.gc()
+
     def components(self) -> DataFrame:
         """(id, component) of the nodes that link with another."""
         scratch = self.scratch
         known = scratch.table(self._connected(self.near_copies(), "near-cc"), "known-0")
-        live = self.shared_entries(known)
-        rows = live.join(self.nodes.select("id", "n", "bits"), "id").select(
-            "token", "id", "n", (F.col("n") - F.col("place")).alias("rest"), "component", "bits", "sets"
+        live = scratch.table(self.shared_entries(known), "live")
+        scratch.drop("entries", "roots")
+        self._released()
+        leaves = self.nodes.select("id", "n", "bits")
+        rows = lambda wanted: live.where(wanted).join(leaves, "id").select(
+            "token", "id", "n", (F.col("n") - F.col("place")).alias("rest"), "component", "bits"
         )
-        rows = scratch.table(rows, "tree-rows")
-        small = small_trees(rows.where(F.col("sets") <= CHUNK).drop("sets"))
-        large = large_trees(rows.where(F.col("sets") > CHUNK).drop("sets"), scratch)
+        small = small_trees(rows(F.col("sets") <= CHUNK))
+        large = large_trees(rows(F.col("sets") > CHUNK), scratch)
         found = scratch.table(small.unionByName(large).distinct(), "found")
-        scratch.drop("tree-rows", "entries", "roots", "chunked", "chunk-nodes", "cells")
+        scratch.drop("live", "chunked", "chunk-nodes", "cells")
+        self._released()
         # one pair for every two components, the most alike
         best = found.groupBy("ca", "cb").agg(F.min_by(F.struct("a", "b"), F.struct("apart", "a", "b")).alias("p"))
         first = self.verified(best.select("p.a", "p.b"), "best")
