@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.operators import integrity, kpis, primitives, quality, reconcile
+from bazaar.operators import distributions, integrity, kpis, primitives, quality, reconcile
 from bazaar.plans.graph import Marketplace
 from bazaar.sources.fixtures import spoiled
 
@@ -96,6 +96,11 @@ JOB_QUERIES: dict[str, Callable[[Marketplace], DataFrame]] = {
     "integrity_sources": lambda m: integrity.source_integrity(m.staged_sources),
     "integrity_rules": lambda m: integrity.specification_rules(m.staged_sources),
     "profile_table": lambda m: integrity.profile_tables(m.staged_sources),
+    # distribution rules of the specification (I2): shares, ranges and seasons
+    "integrity_shares": lambda m: distributions.specification_shares(m.staged_sources),
+    "integrity_rates": lambda m: distributions.rate_ranges(m.stg_services),
+    "seasonal_index": lambda m: distributions.seasonal_index(m.stg_jobs, m.stg_services),
+    "integrity_seasons": lambda m: distributions.specification_seasons(m.stg_jobs, m.stg_services),
     # reconciliation
     "reconcile_payouts": lambda m: reconcile.reconcile_payouts(
         m.int_payouts_enriched, m.int_jobs_enriched, m.int_adjustments_enriched
