@@ -171,23 +171,25 @@ def line_fingerprint(words) -> int | None:
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else None
 
 
-def fuzzy_removed(rows, min_words=5, similarity=0.8) -> dict:
-    """doc_id -> numbers of removed lines, of (doc_id, text) rows with distinct ids."""
+def fuzzy_removed(rows, similarity=0.8) -> dict:
+    """doc_id -> numbers of removed lines, of (doc_id, text) rows with distinct ids; edit similarity alone decides."""
     lines = {}
     for i, text in rows:
         for k, line in enumerate((text or "").split("\n")):
             norm = " ".join(line.lower().split())
-            if len(norm.split()) >= min_words:
+            if norm:
                 lines[(i, k)] = norm
-    nodes = {norm: line_fingerprint(norm.split()) for norm in lines.values()}
+    held = {norm: (norm.split(), frozenset(norm.split())) for norm in lines.values()}
 
     def linked(a, b):
-        if None in (nodes[a], nodes[b]):
+        (a, sa), (b, sb) = held[a], held[b]
+        edits = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+        # every word of one line that the other lacks is an edit
+        if abs(len(a) - len(b)) > edits or len(sa & sb) < max(len(sa), len(sb)) - edits:
             return False
-        same = sum(not (nodes[a] ^ nodes[b]) >> 16 * k & 0xFFFF for k in range(4))
-        return same >= 2 and edit_similarity(a.split(), b.split()) >= similarity
+        return edit_similarity(a, b) >= similarity - 1e-9
 
-    group = components(nodes, linked)
+    group = components(held, linked)
     first = {}
     for place, norm in sorted(lines.items()):
         first.setdefault(group[norm], place)
