@@ -153,7 +153,7 @@ def in_batches(batches: Iterator[pa.RecordBatch], size_of: int, most: int) -> It
 
 def text_keys(text) -> list:
     data = F.coalesce(text, F.lit(""))
-    return [F.xxhash64(data).alias("t1"), F.xxhash64(data, F.lit("second")).alias("t2")]
+    return [F.xxhash64(data).alias("t1"), F.xxhash64(F.lit("second"), data).alias("t2")]
 
 
 PIECES = "t1 long, t2 long, start long, windows long, m long, place long, d1 long, d2 long, tie boolean, n long"
