@@ -117,19 +117,93 @@ def test_base_counts(request, which):
             assert r.ratio == pytest.approx(whole)
 
 
-def test_bands_reject_repetitive_and_incompressible_text():
+def plain_limits(texts):
+    """Centre and spread of the corpus by lists and sorting: (class -> low, high) as a function, and the chunk band."""
+    z = zstandard.ZstdCompressor(level=compression.LEVEL)
+    passing = {t for t in texts if not brute.base_counts(t)[-1]}
+    points = {(len(t.encode()), compression.ratio(t.encode(), z)): t for t in passing}
+
+    def quartile(values, share):
+        return sorted(values)[max(0, int(np.ceil(share * len(values))) - 1)]
+
+    by_class = {}
+    for n, r in points:
+        by_class.setdefault(int(np.floor(np.log2(n) * 4)), []).append(r)
+    classes = [(c, len(v), *[quartile(v, q) for q in (0.25, 0.5, 0.75)]) for c, v in by_class.items()]
+    curves = compression.band_curves(classes)
+    chunks = [r for t in points.values() for r in compression.chunk_ratios(t.encode(), z)]
+
+    def band(n):
+        low, high = next((lo, hi) for below, lo, hi in compression.BANDS if n < below)
+        if curves:
+            centre, spread, first, last = curves
+            at = min(max(np.log2(max(n, 1)) * 4 - 0.5, first), last)
+            middle = np.polyval(centre, at)
+            wide = 3.0 * max(np.polyval(spread, at), 0.02 * middle)
+            low, high = max(low, middle - wide), min(high, middle + wide)
+        return low, high
+
+    low, high = compression.CHUNK_BAND
+    if chunks:
+        q1, q2, q3 = (quartile(chunks, q) for q in (0.25, 0.5, 0.75))
+        wide = 3.0 * max((q3 - q1) / 2 / 0.6745, 0.02 * q2)
+        low, high = max(low, q2 - wide), min(high, q2 + wide)
+    return band, (low, high)
+
+
+@pytest.mark.parametrize("which", ["messy", "small_docs", "nothing"])
+def test_verdict_against_a_plain_version(request, which):
+    docs = request.getfixturevalue(which)
+    texts = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    band, (chunk_low, chunk_high) = plain_limits([t for _, t in texts])
+    z = zstandard.ZstdCompressor(level=compression.LEVEL)
+    want = []
+    for i, t in texts:
+        data = t.encode()
+        out = [not chunk_low <= r <= chunk_high for r in compression.chunk_ratios(data, z)]
+        low, high = band(len(data))
+        good = bool(data) and low <= compression.ratio(data, z) <= high and sum(out) <= 0.25 * len(out)
+        want.append((i, good and not brute.base_counts(t)[-1]))
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    got = [(r.doc_id, r.kept) for r in compression.compression_rules(docs).select("doc_id", "kept").collect()]
+    assert sorted(got, key=order) == sorted(want, key=order)
+
+
+def test_bands_tell_poor_text_from_good(spark):
+    labels = spark.read.parquet(f"{TRAIN_DIR}/labels.parquet").where("quality IS NOT NULL")
+    judged = compression.compression_rules(spark.read.parquet(f"{TRAIN_DIR}/documents.parquet")).where("NOT base_failed")
+    by_ratio, by_chunks = "ratio NOT BETWEEN low AND high", f"chunks_out > {compression.CHUNKS_OUT}"
+    rows = (
+        judged.join(labels, "doc_id")
+        .groupBy("quality")
+        .agg(F.count_if(~F.col("kept")).alias("out"), F.count_if(F.expr(by_ratio)).alias("ratio"),
+             F.count_if(F.expr(by_chunks)).alias("chunks"), F.count("*").alias("n"))
+        .collect()
+    )
+    poor, good = ({r.quality: r for r in rows}[q] for q in (0, 1))
+    assert poor.ratio > 0 and poor.chunks > 0
+    assert poor.out / poor.n > 0.5 and good.out / good.n < 0.02
+
+
+def test_bands_reject_repetitive_and_incompressible_text(spark):
     rng = np.random.default_rng(0)
-    z = zstandard.ZstdCompressor(level=3)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ+/"))
-    words = ["".join(rng.choice(letters[:26], rng.integers(2, 9))) for _ in range(600)]
-    prose = " ".join(words[int(i)] for i in np.minimum(rng.zipf(1.2, 3_000) - 1, 599))
-    noise = "".join(rng.choice(letters, 9_000))
-    assert compression.within_bands(prose.encode(), z)[0]
-    assert not compression.within_bands(bytes(rng.integers(0, 256, 9_000, np.uint8)), z)[0]
-    assert not compression.within_bands(b"spam and more spam " * 800, z)[0]
-    mixed = prose[:6_000] + "buy now " * 1_500
-    assert not compression.within_bands(mixed.encode(), z)[0]  # repetitive chunks
-    assert compression.within_bands(noise.encode(), z)[1] < 1.5
+    words = ["".join(rng.choice(letters[:26], rng.integers(2, 9))) for _ in range(3_000)]
+    often = 1 / (np.arange(3_000) + 20)
+
+    def prose(n):
+        return " ".join(words[i] for i in rng.choice(3_000, n, p=often / often.sum()))
+
+    noise = " ".join("".join(rng.choice(letters, 60)) for _ in range(150))
+    half = prose(1_500) + " " + " ".join("".join(rng.choice(letters, 60)) for _ in range(100))
+    spam = " ".join(f"buy now {i % 7} cheap {i % 11}" for i in range(1_500))
+    rows = [(i, prose(int(n))) for i, n in enumerate(rng.integers(60, 4_000, 300))]
+    rows += [(1000, noise), (1001, half), (1002, spam)]
+    rows += [(2000 + i, rows[5][1]) for i in range(200)]  # copies move no limit
+    got = {r.doc_id: r for r in compression.compression_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[i].kept for i in range(300)) >= 290
+    assert not any(got[i].kept for i in (1000, 1001, 1002))
+    assert got[1000].ratio < got[1000].low and got[1001].chunks_out > compression.CHUNKS_OUT
 
 
 HTML = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="<p>x</p>";</script></head>
