@@ -34,7 +34,10 @@ class DigestIndex:
     """A table (digest, keep_id, n_rows, batch), bucketed and sorted by digest.
 
     ``location`` is the shared folder of the index; opening an existing folder
-    continues it. Each append is one batch, so a lost job leaves no half batch.
+    continues it. Every batch has a name that the caller chooses and gives again when it
+    repeats a lost job: what that batch itself put into the index is not "seen" to it, and is not
+    put there twice, so a repeat returns the same rows, even if the lost job had appended
+    some or all of them. Batches are added one after another, not at the same time.
     """
 
     def __init__(self, spark: SparkSession, location: str, buckets: int = BUCKETS):
@@ -49,14 +52,16 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def unseen(self, groups: DataFrame) -> DataFrame:
-        """Rows of ``groups`` whose digest the index lacks, by sort-merge anti join."""
-        return groups.join(self.read().hint("merge").select("digest"), "digest", "left_anti")
+    def unseen(self, groups: DataFrame, batch: str | None = None) -> DataFrame:
+        """Rows of ``groups`` whose digest the index lacks or has from ``batch``, by sort-merge anti join."""
+        known = self.read() if batch is None else self.read().where(F.col("batch") != batch)
+        return groups.join(known.hint("merge").select("digest"), "digest", "left_anti")
 
     def append(self, groups: DataFrame, batch: str) -> None:
-        """Append (digest, keep_id, n_rows); one file per bucket and task."""
+        """Append what is new of (digest, keep_id, n_rows); one file per bucket and task."""
         (
-            groups.select("digest", "keep_id", "n_rows", F.lit(batch).alias("batch"))
+            self.unseen(groups)
+            .select("digest", "keep_id", "n_rows", F.lit(batch).alias("batch"))
             .repartition(self.buckets, "digest")
             .write.format("parquet")
             .mode("append")
@@ -74,25 +79,26 @@ def groups_of(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def add_batch(index: DigestIndex, rows: DataFrame) -> str:
-    """Append the groups of ``rows`` that are new to the index; returns the batch name."""
-    batch = uuid.uuid4().hex
-    index.append(index.unseen(groups_of(rows)), batch)
-    return batch
+def open_index(index: DigestIndex | None, batch: str | None, scratch: Scratch) -> tuple[DigestIndex, str]:
+    """The caller's index and batch name, or a fresh index of this run."""
+    if index is None:
+        return DigestIndex(scratch.spark, scratch.path("index")), batch or scratch.id
+    if not batch:
+        raise ValueError("a batch that goes into a lasting index needs a name, so that it can be repeated")
+    return index, batch
 
 
-def exact_groups(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def exact_groups(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Without an index a fresh one is made. With an index that already holds a
     digest, ``keep_id`` is the id kept then, and none of the new rows is kept
-    unless it is that document.
+    unless it is that document. ``batch`` names these rows (see ``DigestIndex``).
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "exact-dedup")
+    scratch = Scratch(docs.sparkSession, "exact-dedup")
+    index, batch = open_index(index, batch, scratch)
     rows = scratch.table(digests(docs), "digests")
-    index = index or DigestIndex(spark, scratch.path("index"))
-    add_batch(index, rows)
+    index.append(groups_of(rows), batch)
     known = index.read().select("digest", "keep_id")
     here = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
     return rows.join(here.join(known, "digest"), "digest").select(
@@ -104,15 +110,15 @@ def exact_groups(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame
     )
 
 
-def drop_exact_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def drop_exact_copies(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """``docs`` with one row of each group of equal texts, and none the index had.
 
     The row with the smallest doc_id stays. Groups combine map-side before their
-    shuffle, and the anti join reuses it. The survivors' digests are appended.
+    shuffle, and the anti join reuses it. The survivors' digests are appended under
+    the name ``batch``; the same rows under the same name give the same result again.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "exact-dedup")
-    index = index or DigestIndex(spark, scratch.path("index"))
+    scratch = Scratch(docs.sparkSession, "exact-dedup")
+    index, batch = open_index(index, batch, scratch)
     cols = docs.columns
     first = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), row_key(docs).alias("c"))
     grouped = (
@@ -120,8 +126,8 @@ def drop_exact_copies(docs: DataFrame, index: DigestIndex | None = None) -> Data
         .groupBy("digest")
         .agg(F.min_by("_row", "_first").alias("_row"), F.count(F.lit(1)).alias("n_rows"))
     )
-    kept = scratch.table(index.unseen(grouped), "kept")
-    index.append(kept.select("digest", F.col("_row.doc_id").cast("long").alias("keep_id"), "n_rows"), uuid.uuid4().hex)
+    kept = scratch.table(index.unseen(grouped, batch), "kept")
+    index.append(kept.select("digest", F.col("_row.doc_id").cast("long").alias("keep_id"), "n_rows"), batch)
     return kept.select(*[F.col("_row").getField(c).alias(c) for c in cols])
 
 
