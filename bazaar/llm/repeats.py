@@ -335,7 +335,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row of ``docs``."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and whether any byte went, of every row of ``docs``."""
     assert WINDOW % WIDTH == 0
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
@@ -412,4 +412,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     results = texts.select("t1", "t2", "body").join(per_text, ["t1", "t2"], "left").mapInArrow(_cut_out, RESULT)
     results = scratch.table(results, "results")
     scratch.keep("results")
-    return rows.select("doc_id", "t1", "t2").join(results, ["t1", "t2"]).drop("t1", "t2")
+    return rows.select("doc_id", "t1", "t2").join(results, ["t1", "t2"]).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("lost_bytes")
+    )

@@ -40,15 +40,36 @@ def test_index_persists_and_grows(spark, tmp_path):
     index = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index", buckets=4)
     first = spark.createDataFrame([(1, "a b"), (2, "a  b"), (3, "c")], "doc_id long, text string")
     second = spark.createDataFrame([(4, "a\tb"), (5, "d"), (6, "d")], "doc_id long, text string")
-    assert sorted(r.doc_id for r in exact_dedup.drop_exact_copies(first, index).collect()) == [1, 3]
+    assert sorted(r.doc_id for r in exact_dedup.drop_exact_copies(first, index, "a").collect()) == [1, 3]
     again = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index", buckets=4)
-    assert [r.doc_id for r in exact_dedup.drop_exact_copies(second, again).collect()] == [5]
+    assert [r.doc_id for r in exact_dedup.drop_exact_copies(second, again, "b").collect()] == [5]
     rows = sorted((r.keep_id, r.n_rows) for r in again.read().collect())
     assert rows == [(1, 2), (3, 1), (5, 2)]
     plan = again.unseen(exact_dedup.groups_of(exact_dedup.digests(second)))._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
 
 
+def test_a_repeated_batch_loses_nothing(spark, tmp_path):
+    index = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index", buckets=4)
+    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "doc_id long, text string")
+    second = spark.createDataFrame([(4, "b"), (5, "c"), (6, None), (7, "c"), (8, "d")], "doc_id long, text string")
+
+    def kept(rows, batch):
+        return sorted(r.doc_id for r in exact_dedup.drop_exact_copies(rows, index, batch).collect())
+
+    assert kept(first, "a") == [1, 2] == kept(first, "a")
+    # a lost job that had appended a part of its batch, or all of it
+    index.append(exact_dedup.groups_of(exact_dedup.digests(second.where("doc_id = 5"))), "b")
+    assert kept(second, "b") == [5, 6, 8] == kept(second, "b")
+    assert kept(second, "c") == [] and kept(first, "a") == [1, 2]
+    held = [r.digest for r in index.read().collect()]
+    assert len(held) == len(set(held)) == 5
+    groups = exact_dedup.exact_groups(second, index, "b")
+    assert sorted(pairs_of(groups, "doc_id", "keep_id")) == [(4, 2), (5, 5), (6, 6), (7, 5), (8, 8)]
+    with pytest.raises(ValueError, match="name"):
+        exact_dedup.drop_exact_copies(first, index)
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(0, 60)] + [(1000, 2000 + i) for i in range(50)]
@@ -139,7 +160,9 @@ def test_columnwise_against_brute_force():
 
 
 def repeated(docs):
-    got = pairs_of(repeats.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    frame = repeats.remove_repeats(docs)
+    assert frame.where("lost_bytes != (n_removed > 0)").count() == 0
+    got = pairs_of(frame, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     rows = pairs_of(docs, "doc_id", "text")
     want = brute.repeats([(t or "").encode() for _, t in rows], repeats.WINDOW)
     assert sorted(got, key=key) == sorted(((i, *w) for (i, _), w in zip(rows, want, strict=True)), key=key)
