@@ -6,12 +6,15 @@ import re
 from dataclasses import dataclass
 from html import unescape
 
+# A quote opens a value only after "="; one that nothing closes is part of an unquoted value.
+VALUE = r"=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>]*+)"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)",
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)((?>[^>=]+|{VALUE})*+)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+READ = frozenset(("class", "id", "role", "data-y"))
 NAME = re.compile(r"[a-z]+|[0-9]+")
 
 # Element kinds of HTML.
@@ -21,6 +24,8 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNREAD = frozenset("script style title textarea iframe noscript noembed template svg xmp object canvas audio video".split())
+#: Elements of those that run to the end of the page if nothing closes them; the others are then passed over.
+TO_THE_END = frozenset("script style title textarea".split())
 #: Start tags that end an open element of the same kind, and where the search for it stops.
 ENDS = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -47,10 +52,10 @@ def _element(tag: str, attributes: str) -> tuple[str, tuple[str, ...], bool]:
     words, mark = [], False
     if attributes and "=" in attributes:
         for name, a, b, c in ATTRIBUTE.findall(attributes):
-            value = a or b or c
-            if name.lower() == "data-y":
+            value, name = a or b or c, name.lower()
+            if name == "data-y":
                 mark = True
-            else:
+            elif name in READ:
                 words += NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower())
     return tag, tuple(words), mark
 
@@ -63,6 +68,7 @@ def blocks_of(html: str | None) -> list[Block]:
     linked = 0
     in_link = False
     known: dict[tuple[str, str], tuple[str, tuple[str, ...], bool]] = {}
+    endless: set[str] = set()
     html = html or ""
 
     def flush() -> None:
@@ -96,8 +102,15 @@ def blocks_of(html: str | None) -> list[Block]:
             continue
         if tag in UNREAD:
             if not found[1] and not found[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+                end = None
+                if tag not in endless:
+                    end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
+                if end:
+                    at = end.end()
+                elif tag in TO_THE_END:
+                    at = len(html)
+                else:
+                    endless.add(tag)
             flush()
             continue
         flush()

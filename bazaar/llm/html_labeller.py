@@ -1,14 +1,17 @@
 """HTML extraction by a recurrent block labeller.
 
 A page is a sequence of leaf blocks. Each block has a tag-path vector (hashed tags
-and attribute words of its open elements), a hashed-word vector and a few rates. A
-bidirectional LSTM in numpy reads the whole sequence in both directions and labels
-every block as article or not, so each decision sees the whole page.
+and attribute words of its open elements), a hashed-word vector and a few rates of the
+block, its container and its place. A bidirectional LSTM in numpy reads the whole sequence in
+both directions and labels every block as article or not, so each decision sees the whole
+page. No list of words is an input of the network. An element that holds the page's
+heading and most of its text is its frame: the names it carries (``<body
+class="has-sidebar">``) say nothing of its parts and are not read.
 
 Training data, all from the table itself: at most ``TRAIN_PAGES`` pages, labelled by
 what their markup declares, and as many pages made from the same blocks in other
-layouts (containers, class names, sidebars, comments, notices, forms), whose labels
-are known by construction.
+layouts (containers, sidebars, comments, notices, forms; telling, opaque and misleading
+names), whose labels are known by construction.
 
 Defined cases: a null or empty page, or one without text, gives an empty text and
 length 0; broken markup is read as far as it goes; pages with any number of blocks
@@ -17,6 +20,7 @@ are labelled whole; repeated rows are extracted each.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,26 +42,72 @@ HIDDEN = 24
 EPOCHS = 14
 BATCH = 48
 
-# Words of class, id and role attributes, and elements, by what they usually hold.
+# Words of class, id and role attributes, and elements, by what they usually hold. They label the
+# table's own pages for training and are no input of the network.
 BOILER_WORDS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie "
     "cookies disqus footer form header login masthead menu modal nav navbar navigation newsletter notice notification "
     "alert pagination popup promo promotion related reply replies respond search share sharing sidebar signup social "
     "sponsor sponsored subscribe toolbar widget complementary gdpr disclaimer recommended trending tags meta".split()
 )
-CONTENT_WORDS = frozenset("article content entry post story main body text blog page".split())
 BOILER_TAGS = frozenset("nav footer header aside form menu button select label fieldset legend dialog".split())
 CONTENT_TAGS = frozenset("article main".split())
+#: Outer elements of a block among which frames are looked for.
+FRAME_DEPTH = 40
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 DENSE = 16
 DIM = PATH_DIM + WORD_DIM + DENSE
 
 
-def declared(block: Block) -> bool:
-    """Whether the markup itself says that the block belongs to the article."""
-    boiler = any(t in BOILER_TAGS or not BOILER_WORDS.isdisjoint(w) for t, w in block.path)
-    return not boiler
+Path = tuple[tuple[str, tuple[str, ...]], ...]
+
+
+@dataclass
+class Page:
+    """What the blocks of a page have in common: its frames, and rates of its containers."""
+
+    blocks: int
+    frames: frozenset[Path]
+    #: path of a block -> share of the page's text, linked share, mean length, share of the part below the frames
+    rates: dict[Path, tuple[float, float, float, float]]
+
+    @classmethod
+    def of(cls, blocks: list[Block]) -> Page:
+        size: dict[Path, list[float]] = {}
+        for b in blocks:
+            held = size.setdefault(b.path, [0, 0.0, 0])
+            held[0] += len(b.text)
+            held[1] += b.linked * len(b.text)
+            held[2] += 1
+        inside: dict[Path, int] = {}
+        for path, held in size.items():
+            for k in range(1, min(len(path), FRAME_DEPTH) + 1):
+                inside[path[:k]] = inside.get(path[:k], 0) + held[0]
+        whole = max(1, sum(held[0] for held in size.values()))
+        heading = next((b.path for h in ("h1", "h2", "h3") for b in blocks if any(t == h for t, _ in b.path)), ())
+        frames = {
+            heading[:k] for k in range(1, min(len(heading), FRAME_DEPTH) + 1)
+            if 2 * inside[heading[:k]] >= whole and heading[k - 1][0] not in HEADINGS
+        }
+        frames |= {p for p in inside if p[-1][0] in ("html", "body")}
+        rates = {}
+        for path, (n, linked, count) in size.items():
+            part = next((path[:k] for k in range(1, min(len(path), FRAME_DEPTH) + 1) if path[:k] not in frames), path)
+            rates[path] = (n / whole, linked / n, min(n / count / 300, 2.0), inside.get(part, n) / whole)
+        return cls(len(blocks), frozenset(frames), rates)
+
+    def parts(self, path: Path) -> list[tuple[str, tuple[str, ...], bool]]:
+        """Elements of a path with their names, and whether each is a frame, whose names are not read."""
+        framed = [k < FRAME_DEPTH and path[: k + 1] in self.frames for k in range(len(path))]
+        return [(t, () if f else w, f) for (t, w), f in zip(path, framed, strict=True)]
+
+
+def declared(block: Block, page: Page) -> bool:
+    """Whether the markup itself says that the block belongs to the article; frames say nothing."""
+    return not any(
+        not framed and (t in BOILER_TAGS or not BOILER_WORDS.isdisjoint(w)) for t, w, framed in page.parts(block.path)
+    )
 
 
 def has_article(blocks: list[Block]) -> bool:
@@ -66,20 +116,23 @@ def has_article(blocks: list[Block]) -> bool:
 
 def teacher_labels(blocks: list[Block]) -> list[bool]:
     """Labels of a page as its markup declares them: inside the article, outside of anything else."""
-    inside = has_article(blocks)
+    inside, page = has_article(blocks), Page.of(blocks)
     return [
-        declared(b)
+        declared(b, page)
         and (not inside or any(t in CONTENT_TAGS or "main" in w for t, w in b.path))
         and (inside or b.linked < 0.6)
         for b in blocks
     ]
 
 
-def vectors(blocks: list[Block], slots: dict[str, int] | None = None) -> np.ndarray:
-    """One row per block: tag path, words, rates."""
+def vectors(
+    blocks: list[Block], slots: dict[str, int] | None = None, page: Page | None = None, start: int = 0
+) -> np.ndarray:
+    """One row per block: tag path, words, rates. ``blocks`` may be the part of ``page`` from ``start``."""
     slots = {} if slots is None else slots
-    n = len(blocks)
-    x = np.zeros((n, DIM), np.float32)
+    page = page or Page.of(blocks)
+    n = page.blocks
+    x = np.zeros((len(blocks), DIM), np.float32)
 
     def slot(token: str) -> int:
         if token not in slots:
@@ -89,17 +142,10 @@ def vectors(blocks: list[Block], slots: dict[str, int] | None = None) -> np.ndar
     paths: dict[tuple, tuple[list[int], list[float]]] = {}
     for i, b in enumerate(blocks):
         if b.path not in paths:
-            at, flags = [], [0.0] * 8
-            for k, (tag, words) in enumerate(b.path):
+            at, flags = [], [*page.rates[b.path], 0.0, 0.0, 0.0, 0.0]
+            for tag, words, _ in page.parts(b.path):
                 at.append(slot(f"t:{tag}"))
                 at += [slot(f"c:{w}") for w in words]
-                bad = tag in BOILER_TAGS or not BOILER_WORDS.isdisjoint(words)
-                good = tag in CONTENT_TAGS or not CONTENT_WORDS.isdisjoint(words)
-                flags[0] = max(flags[0], bad)
-                flags[1] = max(flags[1], good)
-                flags[2] = max(flags[2], tag in CONTENT_TAGS)
-                if k >= len(b.path) - 2:
-                    flags[3] = max(flags[3], bad)
             last = b.path[-1][0] if b.path else ""
             at.append(slot(f"l:{last}"))
             flags[4:8] = [last == "p", last in HEADINGS, last in ("li", "td", "dd", "dt"), last in ("div", "section", "body")]
@@ -112,8 +158,8 @@ def vectors(blocks: list[Block], slots: dict[str, int] | None = None) -> np.ndar
         x[i, PATH_DIM : PATH_DIM + WORD_DIM] = np.bincount(hashed % WORD_DIM, minlength=WORD_DIM) / np.sqrt(len(words))
         size = len(b.text)
         x[i, PATH_DIM + WORD_DIM :] = [
-            *flags, np.log1p(size) / 8, b.linked, (i + 1) / n, 1 / (i + 1), 1 / (n - i), b.text[-1] in ".!?…\"”»",
-            ("©" in b.text) + ("|" in b.text), sum(map(b.text.count, ",.;")) / size,
+            *flags, np.log1p(size) / 8, b.linked, (start + i + 1) / n, 1 / (start + i + 1), 1 / (n - start - i),
+            b.text[-1] in ".!?…\"”»", ("©" in b.text) + ("|" in b.text), sum(map(b.text.count, ",.;")) / size,
         ]
     return x
 
@@ -197,9 +243,9 @@ class Labeller:
             group, order = order[-size:], order[:-size]
             z = [np.zeros((steps, size, 4 * HIDDEN), np.float32) for _ in range(2)]
             for b, i in enumerate(group):
-                whole = vectors(pages[i], slots) if len(pages[i]) <= room else None
+                page = Page.of(pages[i])
                 for s in range(0, len(pages[i]), room):
-                    x = whole[s : s + room] if whole is not None else self._part(pages[i], s, room, slots)
+                    x = vectors(pages[i][s : s + room], slots, page, s)
                     for k, part in enumerate(self.sums(x)):
                         z[k][s : s + len(x), b] = part
             lengths = np.array([len(pages[i]) for i in group])
@@ -210,15 +256,6 @@ class Labeller:
                 slots.clear()
         return out
 
-    @staticmethod
-    def _part(blocks: list[Block], start: int, room: int, slots: dict[str, int]) -> np.ndarray:
-        """Vectors of a part of a very long page, with places relative to the whole page."""
-        x = vectors(blocks[start : start + room], slots)
-        place = np.arange(start, start + len(x))
-        at = PATH_DIM + WORD_DIM + 10
-        x[:, at], x[:, at + 1], x[:, at + 2] = (place + 1) / len(blocks), 1 / (place + 1), 1 / (len(blocks) - place)
-        return x
-
 
 def train(pages: list[list[Block]], labels: list[np.ndarray], seed: int = 0) -> Labeller:
     """Adam on the mean cross entropy of blocks, over batches of pages."""
@@ -272,6 +309,10 @@ CONTAINERS = (
     '<div class="post-body">{}</div>', '<div class="entry-content">{}</div>', '<section class="story">{}</section>',
     "<div>{}</div>", '<div role="main">{}</div>', '<div class="wrapper"><article class="post">{}</article></div>',
 )
+FRAMES = (
+    '<article class="NAME">{}</article>', '<main class="NAME">{}</main>', '<div class="NAME">{}</div>',
+    '<section id="NAME">{}</section>', '<form id="NAME"><div>{}</div></form>',
+)
 CONTENT_ITEMS = (
     "<p data-y=1>{}</p>", "<p data-y=1>{}</p>", "<p data-y=1>{}</p>", "<h2 data-y=1>{}</h2>",
     "<ul><li data-y=1>{}</li></ul>", "<blockquote data-y=1>{}</blockquote>", "<div data-y=1>{}</div>",
@@ -294,7 +335,17 @@ OUTSIDE_ITEMS = (
 )
 STOCK = (
     "We use cookies to improve this site.", "Subscribe to our newsletter", "All rights reserved.", "Home", "About us",
-    "Read more", "Log in", "Leave a reply", "Share this", "Advertisement", "Related posts", "Search",
+    "Read more", "Log in", "Leave a reply", "Share this", "Advertisement", "Related posts", "Search", "Comments",
+    "3 comments", "Reply", "Copyright 2020", "Terms of use", "Privacy policy", "Contact", "Sign up", "Next", "Previous",
+)
+#: Names that mislead on a frame, and forms of names that say nothing.
+MISLEADING = ("has-sidebar", "no-footer", "logged-in-search", "has-comments", "with-banner", "share-wrap", "nav-open", "ad-free")
+#: Reader comments and a sidebar of an opaque page: long texts, told by their place, heads and links.
+OPAQUE_ITEMS = (
+    "<div class=a><h3>{0}</h3><div class=b><span>{1}</span><p>{}</p></div><div class=b><span>{1}</span><p>{}</p></div></div>",
+    "<div class=a><h4>{0}</h4><ul class=b><li><a href=x>{}</a></li><li><a href=x>{}</a></li></ul></div>",
+    "<div class=a><div><a href=x>{0}</a></div><div><a href=x>{0}</a></div></div>", "<div class=a>{0}</div>",
+    "<div class=a><p>{0}</p></div>", "<div class=a><p>{0}</p><p>{0}</p></div>", "<ul class=a><li><a href=x>{0}</a></li></ul>",
 )
 FILLER = ("The river rose in the night, and by morning the road was gone.", "Nobody had expected it so soon.")
 
@@ -313,6 +364,31 @@ def made_page(texts: list[str], rng: np.random.Generator) -> str:
     def outside(most: int) -> str:
         return "".join(fill(OUTSIDE_ITEMS[rng.integers(len(OUTSIDE_ITEMS))], 0.25) for _ in range(rng.integers(most + 1)))
 
+    def plain(most: int) -> str:
+        out = ""
+        for _ in range(rng.integers(most + 1)):
+            form = OPAQUE_ITEMS[rng.integers(len(OPAQUE_ITEMS))]
+            while "{0}" in form:
+                form = form.replace("{0}", STOCK[rng.integers(len(STOCK))], 1)
+            out += fill(form.replace("{1}", f"user{rng.integers(1000)}, {rng.integers(1, 28)} May"))
+        return out
+
+    def renamed(html: str) -> str:
+        """Every class and id replaced by an opaque name, alike ones alike."""
+        names: dict[str, str] = {}
+
+        def new(found: re.Match) -> str:
+            letters = "".join(chr(97 + int(k)) for k in rng.integers(0, 26, 6))
+            return f' {found[1]}="{names.setdefault(found[2], f"x{letters}")}"'
+
+        return re.sub(r""" (class|id)="?([\w -]+)"?(?=[ >])""", new, html)
+
+    style = rng.random()  # telling names below 0.4, opaque to 0.7, misleading ones on the frames above
+    if style >= 0.4:
+        names = [MISLEADING[k] for k in rng.integers(0, len(MISLEADING), 3)] if style >= 0.7 else ["c1", "c2", "c3"]
+    if 0.4 <= style < 0.7:
+        outside = plain  # noqa: F811
+
     items = [fill(CONTENT_ITEMS[rng.integers(len(CONTENT_ITEMS))]) for _ in range(rng.integers(1, 14))]
     if rng.random() < 0.7:
         items.insert(0, fill("<h1 data-y=1>{}</h1>"))
@@ -320,8 +396,16 @@ def made_page(texts: list[str], rng: np.random.Generator) -> str:
         items.insert(rng.integers(len(items) + 1), outside(1))
     if rng.random() < 0.3:
         items.append(outside(2))
-    body = CONTAINERS[rng.integers(len(CONTAINERS))].replace("{}", "".join(items))
-    return f"<html><body>{outside(4)}{body}{outside(4)}</body></html>"
+    container = CONTAINERS[rng.integers(len(CONTAINERS))]
+    if style >= 0.7:
+        container = f'<div class="{names[1]}">{FRAMES[rng.integers(len(FRAMES))].replace("NAME", names[2])}</div>'
+    body = container.replace("{}", "".join(items))
+    if style < 0.4:
+        return f"<html><body>{outside(4)}{body}{outside(4)}</body></html>"
+    if rng.random() < 0.5:
+        body = f'<div class="{names[1]}">{outside(2)}{body}{outside(2)}</div>'
+    page = f'<html><body class="{names[0]}">{outside(3)}{body}{outside(3)}</body></html>'
+    return renamed(page) if style < 0.7 else page
 
 
 def fit(pages: DataFrame, rows: int = TRAIN_PAGES) -> Labeller:
