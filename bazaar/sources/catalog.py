@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from bazaar.sources import fixtures
 from bazaar.sources.schemas import RAW_SCHEMAS, TABLE_NAMES
 
-LAYOUTS = ("auto", "marketplace", "tpch")
+LAYOUTS = ("auto", "marketplace", "snapshot", "tpch")
 NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 TIMES = (T.TimestampNTZType, T.TimestampType, T.DateType)
 
@@ -99,24 +99,34 @@ def read_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     missing = [name for name, path in paths.items() if not exists(spark, path)]
     if missing:
         raise FileNotFoundError(f"{directory} lacks the source tables {', '.join(missing)}")
+    return read_paths(spark, paths)
+
+
+def read_paths(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The raw tables at given paths, in their declared columns and types."""
     return {name: conform(_own_schema(spark, path, name), name) for name, path in paths.items()}
 
 
 def load_sources(spark: SparkSession, directory: str, layout: str = "auto") -> dict[str, DataFrame]:
     """The six raw tables as lazy DataFrames.
 
-    ``layout``: "marketplace" reads ``<table>.parquet`` for the six tables, "tpch"
-    derives them from the TPC-H-style test tables, "auto" takes the first if the
-    folder has any of the six tables. A marketplace folder that lacks a table is an
+    ``layout``: "marketplace" reads ``<table>.parquet`` for the six tables, "snapshot" the newest
+    version of ``write_snapshot``, "tpch" derives them from the TPC-H-style test tables, "auto"
+    takes the first if the folder has any of the six tables and the second if it has manifests. A marketplace folder that lacks a table is an
     error in either case, never a reason to read something else.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}")
     if layout == "auto":
         here = any(exists(spark, f"{directory.rstrip('/')}/{name}.parquet") for name in TABLE_NAMES)
-        layout = "marketplace" if here else "tpch"
+        committed = not here and exists(spark, f"{directory.rstrip('/')}/manifests")
+        layout = "marketplace" if here else "snapshot" if committed else "tpch"
     if layout == "marketplace":
         return read_raw(spark, directory)
+    if layout == "snapshot":
+        from bazaar.sources.snapshots import read_snapshot
+
+        return read_snapshot(spark, directory)
     return fixtures.derive_sources(fixtures.TpchInputs.read(spark, directory))
 
 
