@@ -83,6 +83,14 @@ def smallest_hashes(keys: DataFrame, hashed: Column, rows: int) -> DataFrame:
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(df: DataFrame) -> Column:
     """A 64-bit content key over every column; rows with equal keys are repeats."""
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.llm.staging import doc_fold, smallest_hashes
+from bazaar.llm.staging import doc_fold, free_name, smallest_hashes
 
 #: Bound on the labelled rows that the model is fitted on.
 TRAIN_ROWS = 16_000
@@ -352,4 +352,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` without the rows that the model rejects."""
     model = fit(docs, labels, rows=rows)
-    return append_scores(docs, model, "_toxic_score").where("_toxic_score < 0.5").drop("_toxic_score")
+    score = free_name(docs, "_toxic_score")
+    return append_scores(docs, model, score).where(F.col(score) < 0.5).drop(score)

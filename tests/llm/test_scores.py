@@ -361,3 +361,10 @@ def test_long_pages_are_labelled_whole(spark):
     model = html_labeller.fit(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
     whole, parts = model.label([blocks])[0], model.label([blocks], room=1_000)[0]
     assert (whole == parts).all() and whole[1:-1].all() and not whole[0] and not whole[-1]
+
+
+def test_toxicity_stage_with_a_clashing_name(small_docs, small_labels):
+    plain = toxicity.drop_toxic(small_docs, small_labels)
+    clash = toxicity.drop_toxic(small_docs.withColumn("_Toxic_Score", F.lit("x")), small_labels)
+    assert clash.columns == [*small_docs.columns, "_Toxic_Score"]
+    assert clash.where("`_Toxic_Score` = 'x'").count() == plain.count()
