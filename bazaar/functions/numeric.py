@@ -53,9 +53,14 @@ def decimal_avg(x: Column | str, scale: int = 2) -> Column:
     NULL inputs are skipped; NULL when no input.
     """
     c = _col(x)
+    return decimal_mean(F.sum(c), F.count(c), scale)
+
+
+def decimal_mean(total: Column, n: Column, scale: int = 2) -> Column:
+    """Mean as DOUBLE from an exact DECIMAL total and a count; NULL for a count of 0."""
     factor = 10**scale
-    unscaled = (F.sum(c) * F.lit(factor)).cast("double")
-    return unscaled / F.nullif(F.count(c) * F.lit(float(factor)), F.lit(0.0))
+    unscaled = (total * F.lit(factor)).cast("double")
+    return unscaled / F.nullif(n * F.lit(float(factor)), F.lit(0.0))
 
 
 _SPLIT = float(2**32)
@@ -71,10 +76,20 @@ def double_sum(x: Column | str) -> Column:
     remainder below one unit (summed as double, error far below 2^-32).
     The result is the same for any partitioning.
     """
+    units, rest = split_double(x)
+    return double_total(F.sum(units), F.sum(rest))
+
+
+def split_double(x: Column | str) -> tuple[Column, Column]:
+    """A DOUBLE as whole 2^-32 units, DECIMAL(38,0), and what is left of it in such units."""
     scaled = _col(x) * F.lit(_SPLIT)  # exact: power-of-two scaling
     units = F.floor(scaled)  # BIGINT
-    rest = scaled - units.cast("double")  # exact
-    return (F.sum(units.cast("decimal(38,0)")).cast("double") + F.sum(rest)) / F.lit(_SPLIT)
+    return units.cast("decimal(38,0)"), scaled - units.cast("double")  # exact
+
+
+def double_total(units: Column, rest: Column) -> Column:
+    """The DOUBLE of summed units and rests."""
+    return (units.cast("double") + rest) / F.lit(_SPLIT)
 
 
 def double_avg(x: Column | str) -> Column:

@@ -8,6 +8,8 @@ the many side before the join, so no check emits pairs of rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -257,26 +259,37 @@ def _missing(df: DataFrame, column: str) -> Column:
 def profile_table(df: DataFrame, table_name: str) -> DataFrame:
     """Per column: type and missing values (NULL or NaN); per table: rows, columns, duplicate rows.
 
-    Rows and missing values are one aggregate without a shuffle by key. Duplicate rows
-    (copies of an earlier row) are rows minus distinct rows. Distinct rows are counted
-    by a 128-bit hash of the row, combined map-side, so 16 bytes a row are shuffled
-    instead of the row; at 10^13 rows two different rows share a hash with a chance
-    below 10^-12.
+    One scan: a row becomes a 128-bit hash and a bitmap of its missing values, which are
+    counted map-side, so some 24 bytes for each different row are shuffled instead of the
+    row. Duplicate rows (copies of an earlier row) are rows minus different hashes; at
+    10^13 rows two different rows share a hash with a chance below 10^-12. Missing values
+    are the bits times the rows that have them.
     """
     cols = df.columns
-    counted = df.agg(
-        F.count(F.lit(1)).alias("row_count"), *[F.count_if(_missing(df, c)).alias(c) for c in cols]
-    )
     # a NULL must not hash like the absence of the column before it
     marks = [F.col(c).isNull() for c in cols]
+    words = [cols[i : i + 63] for i in range(0, len(cols), 63)]
+    bit = lambda c, i: F.when(_missing(df, c), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+    bitmaps = [
+        reduce(lambda x, y: x.bitwiseOR(y), [bit(c, i) for i, c in enumerate(word)]).alias(f"missing{w}")
+        for w, word in enumerate(words)
+    ]
     hashed = df.select(
-        F.xxhash64(*cols, *marks).alias("h1"), F.xxhash64(F.lit("second"), *reversed(cols), *marks).alias("h2")
+        F.xxhash64(*cols, *marks).alias("h1"), F.xxhash64(F.lit("second"), *reversed(cols), *marks).alias("h2"), *bitmaps
     )
-    copies = hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows")
+    rows = hashed.groupBy("h1", "h2", *[f"missing{w}" for w in range(len(words))]).agg(F.count(F.lit(1)).alias("n"))
+    is_missing = lambda w, i: F.getbit(F.col(f"missing{w}"), F.lit(i)) == 1
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    stats = rows.agg(
+        count("n").alias("row_count"),
+        count(F.col("n") - 1).alias("duplicate_rows"),
+        *[
+            count(F.when(is_missing(w, i), F.col("n"))).alias(c)
+            for w, word in enumerate(words)
+            for i, c in enumerate(word)
+        ],
     )
     types = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(sql_type_name(df.schema[c].dataType)))])
-    stats = counted.withColumn("duplicate_rows", copies.scalar())
     return stats.unpivot(["row_count", "duplicate_rows"], cols, "column_name", "null_count").select(
         F.lit(table_name).alias("table_name"),
         "column_name",

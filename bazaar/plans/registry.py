@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.operators import distributions, integrity, kpis, primitives, quality, reconcile
+from bazaar.operators import distributions, integrity, kpis, primitives, quality, reconcile, rollups
 from bazaar.plans.graph import Marketplace
+from bazaar.plans.upkeep import MarketView, upkept
+from bazaar.session import checkpoint_dir
 from bazaar.sources.fixtures import spoiled
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +80,15 @@ def _singular(test: str, dirty: bool = False) -> Callable[[Marketplace], DataFra
     return lambda m: quality.singular_test_rows((Marketplace(spoiled(m.raw)) if dirty else m).model, test)
 
 
+def _upkept(m: Marketplace) -> MarketView:
+    """The models of a store in the checkpoint folder into which the tables came in two batches.
+
+    The batches are applied when the query is called; the result reads the store's files,
+    which stay until the folder is cleared.
+    """
+    return upkept(m, f"{checkpoint_dir(m.stg_jobs.sparkSession).rstrip('/')}/stores/{uuid.uuid4().hex}")
+
+
 JOB_QUERIES: dict[str, Callable[[Marketplace], DataFrame]] = {
     # data-quality tests (H1-H8)
     "dq_unique": _declared("unique"),
@@ -113,6 +125,10 @@ JOB_QUERIES: dict[str, Callable[[Marketplace], DataFrame]] = {
     ),
     # KPIs (I6-I10)
     "kpi_marketplace": lambda m: kpis.marketplace_kpis(m.fct_jobs),
+    # the four grains of the fact in one pass, and upkeep by batches
+    "job_rollups": lambda m: rollups.job_rollups(rollups.job_states(m.fct_jobs)),
+    "upkept_fct_jobs": lambda m: _upkept(m).fct_jobs,
+    "upkept_job_rollups": lambda m: rollups.job_rollups(_upkept(m).states),
     # isolated primitives
     "agg_functions": lambda m: primitives.agg_functions(m.fct_jobs),
     "scalar_functions": lambda m: primitives.scalar_functions(m.stg_jobs, m.stg_services),

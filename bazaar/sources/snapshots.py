@@ -28,7 +28,7 @@ class SnapshotConflict(RuntimeError):
     """Another write has committed the version that this one would be."""
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -39,7 +39,7 @@ def _manifest_path(directory: str, version: int) -> str:
 
 def versions(spark: SparkSession, directory: str) -> list[int]:
     """Committed versions, oldest first; none for a folder without snapshots."""
-    folder, fs = _path(spark, f"{directory.rstrip('/')}/{MANIFESTS}")
+    folder, fs = hadoop_path(spark, f"{directory.rstrip('/')}/{MANIFESTS}")
     if not fs.exists(folder):
         return []
     names = (s.getPath().getName() for s in fs.listStatus(folder))
@@ -63,13 +63,13 @@ def read_snapshot(spark: SparkSession, directory: str, version: int | None = Non
     return read_paths(spark, {name: f"{directory.rstrip('/')}/{folders[name]}" for name in TABLE_NAMES})
 
 
-def _commit(spark: SparkSession, directory: str, version: int, folders: dict[str, str]) -> None:
+def commit_manifest(spark: SparkSession, directory: str, version: int, folders: dict) -> None:
     """Create a manifest by a rename that does not replace: atomic on HDFS and local disks.
 
     Object stores without such a rename need a committer of their own, as for any table there.
     """
     jvm, gateway = spark._jvm, spark.sparkContext._gateway
-    draft, fs = _path(spark, f"{directory.rstrip('/')}/{MANIFESTS}/.{uuid.uuid4().hex}.draft")
+    draft, fs = hadoop_path(spark, f"{directory.rstrip('/')}/{MANIFESTS}/.{uuid.uuid4().hex}.draft")
     stream = fs.create(draft, False)
     try:
         stream.write(bytearray(json.dumps(folders, indent=1, sort_keys=True), "utf-8"))
@@ -116,7 +116,7 @@ def write_snapshot(
             df = df.repartition(files_per_table, LAYOUT_KEYS[name])
         folders[name] = f"data/{write}/{name}.parquet"
         df.write.mode("errorifexists").parquet(f"{directory.rstrip('/')}/{folders[name]}")
-    _commit(spark, directory, base + 1, folders)
+    commit_manifest(spark, directory, base + 1, folders)
     return base + 1
 
 
@@ -133,9 +133,9 @@ def expire(spark: SparkSession, directory: str, keep: int = 1) -> list[int]:
     named = {v: set(manifest(spark, directory, v)[1].values()) for v in known}
     used = set().union(*(named[v] for v in new)) if new else set()
     for v in old:
-        target, fs = _path(spark, _manifest_path(directory, v))
+        target, fs = hadoop_path(spark, _manifest_path(directory, v))
         fs.delete(target, False)
     for folder in sorted(set().union(*(named[v] for v in old)) - used) if old else []:
-        target, fs = _path(spark, f"{directory.rstrip('/')}/{folder}")
+        target, fs = hadoop_path(spark, f"{directory.rstrip('/')}/{folder}")
         fs.delete(target, True)
     return old

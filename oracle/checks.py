@@ -290,6 +290,51 @@ SELECT CAST(j.job_id AS BIGINT) AS job_id,
 FROM stg_jobs j LEFT JOIN stg_services s ON s.service_id = j.service_id
 """
 
+#: The totals of the three owners, and of the whole fact.
+JOB_ROLLUPS = """
+WITH whole AS (
+    SELECT count(*) AS n, count(*) FILTER (WHERE is_completed) AS n_done, count(*) FILTER (WHERE is_canceled) AS n_off,
+           count(*) FILTER (WHERE canceled_by = 'contractor') AS off_contractor,
+           count(*) FILTER (WHERE canceled_by = 'customer') AS off_customer,
+           count(*) FILTER (WHERE total_refund_usd > 0) AS refunds, count(*) FILTER (WHERE has_full_refund) AS full_refunds,
+           sum(gross_amount_usd) AS gross, sum(net_revenue_usd) AS net, sum(total_payout_amount_usd) AS earned,
+           sum(total_refund_usd) AS refunded, fsum(total_platform_fee_usd) AS fees,
+           sum(gross_amount_usd) FILTER (WHERE is_completed) AS done_gross,
+           count(gross_amount_usd) FILTER (WHERE is_completed) AS done_grossed,
+           fsum(hours_variance) FILTER (WHERE is_completed) AS variance,
+           count(hours_variance) FILTER (WHERE is_completed) AS varied,
+           min(requested_at) AS first_at, max(requested_at) AS last_at, max(completed_at) AS done_at
+    FROM fct_jobs),
+each AS (
+    SELECT owner AS grain, key, n, n_done, n_off, off_contractor, off_customer, refunds, full_refunds, gross, net, earned,
+           refunded, fees, done_gross, done_grossed, variance, varied, first_at, last_at, done_at FROM owner_totals
+    UNION ALL
+    SELECT 'all', NULL, n, n_done, n_off, off_contractor, off_customer, refunds, full_refunds, gross, net, earned,
+           refunded, fees, done_gross, done_grossed, variance, varied, first_at, last_at, done_at FROM whole WHERE n > 0
+    UNION ALL
+    SELECT 'category', NULL, count(*), count(*) FILTER (WHERE is_completed), count(*) FILTER (WHERE is_canceled),
+           count(*) FILTER (WHERE canceled_by = 'contractor'), count(*) FILTER (WHERE canceled_by = 'customer'),
+           count(*) FILTER (WHERE total_refund_usd > 0), count(*) FILTER (WHERE has_full_refund),
+           sum(gross_amount_usd), sum(net_revenue_usd), sum(total_payout_amount_usd), sum(total_refund_usd),
+           fsum(total_platform_fee_usd), sum(gross_amount_usd) FILTER (WHERE is_completed),
+           count(gross_amount_usd) FILTER (WHERE is_completed), fsum(hours_variance) FILTER (WHERE is_completed),
+           count(hours_variance) FILTER (WHERE is_completed), min(requested_at), max(requested_at), max(completed_at)
+    FROM fct_jobs WHERE service_category IS NULL HAVING count(*) > 0)
+SELECT grain, CASE WHEN grain = 'contractor' THEN key::BIGINT END AS contractor_id,
+       CASE WHEN grain = 'customer' THEN key::BIGINT END AS customer_id,
+       CASE WHEN grain = 'category' THEN key END AS service_category,
+       n AS total_jobs, n_done AS completed_jobs, n_off AS canceled_jobs, off_contractor AS contractor_cancellations,
+       off_customer AS customer_cancellations, refunds AS jobs_with_refunds, full_refunds AS full_refund_jobs,
+       gross AS total_gross_usd, net AS total_net_revenue_usd, earned AS total_earned_usd, refunded AS total_refunded_usd,
+       round(fees, 2) AS total_platform_fee_usd,
+       round((done_gross * 100)::DOUBLE / nullif(done_grossed * 100, 0)::DOUBLE, 2) AS avg_job_gross_usd,
+       round(variance / nullif(varied, 0)::DOUBLE, 2) AS avg_hours_variance,
+       round(100.0 * n_done / n, 2) AS completion_rate_pct, round(100.0 * n_off / n, 2) AS cancellation_rate_pct,
+       round(100.0 * refunds / nullif(n_done, 0), 2) AS refund_rate_pct,
+       first_at AS first_job_at, last_at AS last_job_at, done_at AS last_completed_at
+FROM each
+"""
+
 # selects run after the model CTEs (and RECONCILE_CTES)
 #: The singular tests over raw tables with a few spoiled rows (see ``sources.SPOILED_CTES``).
 SPOILED_SQL: dict[str, str] = {
@@ -317,6 +362,9 @@ CHECK_SQL: dict[str, str] = {
     "reconcile_summary": RECONCILE_SUMMARY,
     "adjustments_after_payout": ADJUSTMENTS_AFTER_PAYOUT,
     "kpi_marketplace": KPI_MARKETPLACE,
+    "job_rollups": f"SELECT * FROM ({JOB_ROLLUPS.strip()}) r",
+    "upkept_fct_jobs": "SELECT * FROM fct_jobs",
+    "upkept_job_rollups": f"SELECT * FROM ({JOB_ROLLUPS.strip()}) r",
     "agg_functions": AGG_FUNCTIONS,
     "scalar_functions": SCALAR_FUNCTIONS,
 }
