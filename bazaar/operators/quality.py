@@ -459,8 +459,16 @@ class Test:
         return self.kind in ("unique", "accepted_values")
 
 
-def tests_of(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False, view: str = "") -> list[Test]:
-    """The selected tests in the order of their declaration. A unique test is asked of every key."""
+Models = tuple[str, ...] | None
+
+
+def tests_of(
+    kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False, view: str = "", models: Models = None
+) -> list[Test]:
+    """The selected tests in the order of their declaration, of all models or of ``models``.
+
+    A unique test is asked of every key.
+    """
     found: list[Test] = []
 
     def add(kind: str, spec: ModelTests, name: str, column: str | None, fails: str, join: str = "") -> None:
@@ -486,7 +494,7 @@ def tests_of(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False, vi
             for name, model, predicate, _ in SINGULAR_TESTS:
                 if model == spec.model:
                     add("singular", spec, name, None, predicate)
-    return found
+    return [t for t in found if models is None or t.model in models]
 
 
 def key_hash(value: str) -> tuple[str, str]:
@@ -529,13 +537,19 @@ def _found_sql(model: str, tests: list[Test], view: str, hashed: Hash) -> str:
     return f"SELECT t, h1, h2 FROM (SELECT inline({every}) FROM {view}{model} m {joins}) WHERE t IS NOT NULL"
 
 
-def suite_sql(kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False, view: str = "", hashed: Hash = key_hash) -> str:
+def suite_sql(
+    kinds: tuple[str, ...] = DECLARED_KINDS,
+    singular: bool = False,
+    view: str = "",
+    hashed: Hash = key_hash,
+    models: Models = None,
+) -> str:
     """One Spark SQL statement over the model views: (t, h1, h2, n) of all that fails or may fail.
 
     Everything found in all models is counted in one exchange, combined map-side. Keys of
     a unique test that occur once are passed over.
     """
-    tests = tests_of(kinds, singular, view)
+    tests = tests_of(kinds, singular, view, models)
     branches = [_found_sql(model, own, view, hashed) for model, own in _by_model(tests).items()]
     unique = ", ".join(str(t.number) for t in tests if t.kind == "unique")
     union = "\nUNION ALL\n".join(branches)
@@ -558,11 +572,17 @@ def _values_sql(tests: list[Test], again: str, view: str, hashed: Hash) -> str:
 
 
 def test_counts(
-    spark, kinds: tuple[str, ...], singular: bool, view: str, run: RunFolder, hashed: Hash = key_hash
+    spark,
+    kinds: tuple[str, ...],
+    singular: bool,
+    view: str,
+    run: RunFolder,
+    models: Models = None,
+    hashed: Hash = key_hash,
 ) -> list[tuple[Test, int]]:
     """Every selected test with its failures, from the model views named ``view`` + model."""
-    tests = tests_of(kinds, singular, view)
-    found = run.table(spark.sql(suite_sql(kinds, singular, view, hashed)), "found")
+    tests = tests_of(kinds, singular, view, models)
+    found = run.table(spark.sql(suite_sql(kinds, singular, view, hashed, models)), "found")
     counts = {r.t: r for r in found.groupBy("t").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).collect()}
     # a test by values with any hash found more than once: its values are told apart
     by_value = {t.number for t in tests if t.by_value}
@@ -655,10 +675,12 @@ def declared_test_rows(resolve, model: str, test: str, column: str) -> DataFrame
     raise KeyError((model, test, column))
 
 
-def models_under_test(kinds: tuple[str, ...] = DECLARED_KINDS) -> tuple[str, ...]:
+def models_under_test(kinds: tuple[str, ...] = DECLARED_KINDS, models: Models = None) -> tuple[str, ...]:
     """The models that tests of these kinds read, declared parents included."""
     names: list[str] = []
     for spec in DECLARED_TESTS:
+        if models is not None and spec.model not in models:
+            continue
         if any(getattr(spec, {"accepted_values": "accepted"}.get(k, k)) for k in kinds):
             names.append(spec.model)
         if "relationships" in kinds:
@@ -666,21 +688,28 @@ def models_under_test(kinds: tuple[str, ...] = DECLARED_KINDS) -> tuple[str, ...
     return tuple(dict.fromkeys(names))
 
 
-def declared_test_results(marketplace, kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False) -> DataFrame:
-    """Failing-row counts of the declared tests of the selected kinds.
+def declared_test_results(
+    marketplace, kinds: tuple[str, ...] = DECLARED_KINDS, singular: bool = False, models: Models = None
+) -> DataFrame:
+    """Failing-row counts of the declared tests of the selected kinds, of all models or of ``models``.
 
     The run writes every model that it reads more than once, in dependency order,
     and deletes the files afterwards. What it returns is one row
     per test (287 at most), held by the driver: the files are gone by then.
     """
     spark = marketplace.stg_jobs.sparkSession
-    names = models_under_test(kinds if not singular else DECLARED_KINDS)
+    tested = {spec.model for spec in DECLARED_TESTS}
+    if unknown := [name for name in models or () if name not in tested]:
+        raise KeyError(f"no tests are declared for {', '.join(unknown)}")
+    if not tests_of(kinds, singular, models=models):
+        return as_results(spark, [])
+    names = models_under_test(kinds if not singular else DECLARED_KINDS, models)
     with RunFolder(spark, "data-tests") as run:
         files = marketplace.as_files(run, marketplace.files_for(names))
         view = f"t{run.path[-32:]}_"
         files.register_views(names, view)
         try:
-            counts = test_counts(spark, kinds, singular, view, run)
+            counts = test_counts(spark, kinds, singular, view, run, models)
         finally:
             for name in names:
                 spark.catalog.dropTempView(view + name)
@@ -695,9 +724,9 @@ def singular_test_rows(resolve, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def test_summary(marketplace) -> DataFrame:
-    """All 287 declared and singular tests, one row each, with a pass flag."""
-    return declared_test_results(marketplace, DECLARED_KINDS, singular=True).withColumn("passed", F.col("failures") == 0)
+def test_summary(marketplace, models: Models = None) -> DataFrame:
+    """All 287 declared and singular tests (or those of ``models``), one row each, with a pass flag."""
+    return declared_test_results(marketplace, DECLARED_KINDS, singular=True, models=models).withColumn("passed", F.col("failures") == 0)
 
 
 def declared_test_count() -> int:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from bazaar.operators import intermediate as im
 from bazaar.operators import marts as mt
+from bazaar.operators import rollups
 from bazaar.operators import scorecards as sc
 from bazaar.operators.quality import as_results, observed_counts, observed_failures
 from bazaar.session import RunFolder
@@ -54,6 +55,7 @@ MARTS = (
     "customer_health_summary",
     "service_category_performance",
 )
+SCORECARDS = MARTS[-3:]
 MODELS = STAGING + INTERMEDIATE + MARTS
 # Build order: a model after the models it reads.
 BUILD_ORDER = INTERMEDIATE + MARTS
@@ -280,11 +282,16 @@ class Marketplace:
 
         Each model is computed once: after it is written, later models read
         the written table instead of recomputing its lineage (table
-        materialisation of the whole graph). Returns model -> path.
+        materialisation of the whole graph). The scorecards share one pass over the
+        fact, if it is built with them. Returns model -> path.
         """
+        # a model after those it reads, whatever the order of the names
+        names = sorted(dict.fromkeys(names), key=lambda n: MODELS.index(n) if n in MODELS else -1)
         graph, paths = self.replaced({}), {}
         for name in names:
             paths.update(graph.build_one(target_dir, name))
+            if name == "fct_jobs" and set(names) & set(SCORECARDS):
+                graph.roll_up(target_dir)
         return paths
 
     def build_tested(self, target_dir: str) -> tuple[dict[str, str], DataFrame]:
@@ -310,6 +317,8 @@ class Marketplace:
         for name in BUILD_ORDER:
             watch(name)
             paths.update(graph.build_one(target_dir, name))
+            if name == "fct_jobs":
+                graph.roll_up(target_dir)
         for name, tests, seen in watched:
             counts += observed_failures(self.model(name) if name in STAGING else graph.model(name), tests, seen.get)
         return paths, as_results(self.stg_jobs.sparkSession, counts)
@@ -322,6 +331,16 @@ class Marketplace:
         self.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(path)
         return {name: path}
 
+    def roll_up(self, target_dir: str) -> None:
+        """Write the states of the fact's four grains; from now on the scorecards are made of them."""
+        path = os.path.join(target_dir, "rollups", "job_states")
+        df = rollups.job_states(self.fct_jobs)
+        df.write.mode("overwrite").parquet(path)
+        states = df.sparkSession.read.schema(df.schema).parquet(path)
+        self.__dict__["contractor_job_stats"] = rollups.contractor_job_stats(states)
+        self.__dict__["customer_job_stats"] = rollups.customer_job_stats(states)
+        self.__dict__["service_category_demand"] = rollups.service_category_demand(states)
+
     @classmethod
     def built(cls, spark: SparkSession, directory: str, target_dir: str, names: tuple[str, ...] = BUILD_ORDER):
         """The graph over ``directory`` that reads the models written by ``build``."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from builders import adjustment, contractor, job, marketplace, payout, service, user
 
 from bazaar.operators import integrity, quality
@@ -174,3 +175,20 @@ def test_failing_rows_of_declared_tests(spark):
     for t in quality.tests_of():
         if counts[(t.model, t.name, t.column)]:
             assert len(rows(t.model, t.name, t.column)) == counts[(t.model, t.name, t.column)]
+
+
+def test_selected_models(spark, tmp_path):
+    m = marketplace(spark, **_messy())
+    chosen = ("dim_users", "fct_jobs", "customer_health_summary")
+    rows = quality.test_summary(m, chosen).collect()
+    got = {(r["model"], r["test"], r["column_name"]): r["failures"] for r in rows}
+    assert got == {k: v for k, v in _failures(m).items() if k[0] in chosen} and len(rows) == len(got) > 20
+    assert quality.declared_test_results(m, ("relationships",), models=("dim_users",)).count() == 0
+    with pytest.raises(KeyError, match="no_such"):
+        quality.test_summary(m, ("no_such",))
+    # built in dependency order whatever the order of the names, the scorecard from the fact's roll-ups
+    paths = m.build(str(tmp_path), ("customer_health_summary", "fct_jobs"))
+    assert list(paths) == ["fct_jobs", "customer_health_summary"]
+    assert (tmp_path / "rollups" / "job_states").is_dir()
+    for name, path in paths.items():
+        assert sorted(map(str, spark.read.parquet(path).collect())) == sorted(map(str, m.model(name).collect()))
