@@ -26,6 +26,22 @@ def running_totals(
     """Probe columns plus one ``<value>`` column per event value: sums over events
     with the same key and event time <= probe time (0 when none, or when the probe's
     key or time is NULL)."""
+    totals = totals_at(probes, events, key, probe_time, event_time, values)
+    return with_totals(probes, totals, key, probe_time, values)
+
+
+def with_totals(probes: DataFrame, totals: DataFrame, key: str, probe_time: str, values: list[str]) -> DataFrame:
+    """Probe columns plus the values of ``totals_at``, 0 for a probe that is not in them."""
+    types = {v: totals.schema[f"_v_{v}"].dataType for v in values}
+    joined = probes.join(totals, (F.col(key) == F.col("_k")) & (F.col(probe_time) == F.col("_t")), "left")
+    return joined.select(*probes.columns, *[F.coalesce(f"_v_{v}", F.lit(0).cast(types[v])).alias(v) for v in values])
+
+
+def totals_at(
+    probes: DataFrame, events: DataFrame, key: str, probe_time: str, event_time: str, values: list[str]
+) -> DataFrame:
+    """(_k, _t, _v_<value>): the sums at every different (key, time) of probes and events; only those two columns
+    of the probes are read."""
     types = {v: events.schema[v].dataType for v in values}
     zero = {v: F.lit(0).cast(types[v]) for v in values}
     # a NULL key or time matches nothing, as in an equi/theta join
@@ -52,7 +68,7 @@ def running_totals(
     before = seconds.select("_k", "_day", "_second", *[F.sum(v).over(in_day).alias(f"_s_{v}") for v in values]).join(
         days.select("_k", "_day", *[F.sum(v).over(over_days).alias(f"_d_{v}") for v in values]), ["_k", "_day"]
     )
-    totals = (
+    return (
         points.select("_k", "_t", "_day", "_second", *[F.sum(v).over(in_second).alias(v) for v in values])
         .join(before, ["_k", "_day", "_second"])
         .select(
@@ -64,5 +80,3 @@ def running_totals(
             ],
         )
     )
-    joined = probes.join(totals, (F.col(key) == F.col("_k")) & (F.col(probe_time) == F.col("_t")), "left")
-    return joined.select(*probes.columns, *[F.coalesce(f"_v_{v}", zero[v]).alias(v) for v in values])

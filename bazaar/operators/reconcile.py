@@ -4,7 +4,7 @@ Rule: a payout equals gross - gross * commission - refunds + bonuses, counting
 only the job's adjustments dated on or before the payout date, floored at 0
 and rounded to the cent. Adjustments dated later leave the payout unchanged.
 
-The "dated on or before" sums come from ``asof.running_totals`` (running sums
+The "dated on or before" sums come from ``asof.totals_at`` (running sums
 per day, second and microsecond), not from joining every adjustment to every
 payout of its job, so a job with millions of adjustments and payouts neither
 emits pairs nor lands in one task. Only payouts of jobs that have an adjustment
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.functions.numeric import MONEY_SUM_TYPE
-from bazaar.operators.asof import running_totals
+from bazaar.operators.asof import totals_at, with_totals
 from bazaar.operators.marts import signed_amount
 
 # --- fixed values -------------------------------------------------------------
@@ -34,40 +34,21 @@ def reconcile_payouts(payouts: DataFrame, jobs: DataFrame, adjustments: DataFram
         F.when(F.col("is_goodwill_bonus"), F.col("adjustment_amount_usd")).cast(MONEY_SUM_TYPE).alias("bonuses"),
         F.lit(1).cast("bigint").alias("n_adjustments"),
     )
-    adjusted = adjustments.select("job_id").distinct().withColumn("has_adjustment", F.lit(True))
-    probes = (
-        payouts.join(jobs.select("job_id", "gross_amount_usd"), "job_id", "left")
-        .join(adjusted, "job_id", "left")
-        .select(
-            "payout_id",
-            "job_id",
-            "contractor_id",
-            "paid_at",
-            "commission_rate",
-            "payout_amount_usd",
-            "gross_amount_usd",
-            "has_adjustment",
-        )
-    )
-    zero = F.lit(0).cast(MONEY_SUM_TYPE)
-    plain = probes.where(F.col("has_adjustment").isNull()).withColumns(
-        {"refunds": zero, "bonuses": zero, "n_adjustments": F.lit(0).cast("bigint")}
-    )
-    summed = running_totals(
-        probes.where(F.col("has_adjustment").isNotNull()),
-        events,
-        key="job_id",
-        probe_time="paid_at",
-        event_time="adjusted_at",
-        values=["refunds", "bonuses", "n_adjustments"],
+    # only payouts of adjusted jobs are asked for: key and time, without what else a payout has
+    adjusted = adjustments.select("job_id").distinct()
+    asked = payouts.select("job_id", "paid_at").join(adjusted, "job_id", "left_semi")
+    values = ["refunds", "bonuses", "n_adjustments"]
+    totals = totals_at(asked, events, key="job_id", probe_time="paid_at", event_time="adjusted_at", values=values)
+    probes = payouts.join(jobs.select("job_id", "gross_amount_usd"), "job_id", "left").select(
+        "payout_id", "job_id", "contractor_id", "paid_at", "commission_rate", "payout_amount_usd", "gross_amount_usd"
     )
-    totals = plain.unionByName(summed)
+    summed = with_totals(probes, totals, "job_id", "paid_at", values)
     gross, rate = F.col("gross_amount_usd"), F.col("commission_rate")
     refunds = F.col("refunds").cast(MONEY_SUM_TYPE)
     bonuses = F.col("bonuses").cast(MONEY_SUM_TYPE)
     expected = F.greatest(F.lit(0), F.round(gross - gross * rate - refunds + bonuses, 2)).cast(MONEY_SUM_TYPE)
     difference = (F.col("payout_amount_usd") - expected).cast(MONEY_SUM_TYPE)
-    return totals.select(
+    return summed.select(
         "payout_id",
         "job_id",
         "contractor_id",
