@@ -320,27 +320,28 @@ each AS (
            count(gross_amount_usd) FILTER (WHERE is_completed), fsum(hours_variance) FILTER (WHERE is_completed),
            count(hours_variance) FILTER (WHERE is_completed), min(requested_at), max(requested_at), max(completed_at)
     FROM fct_jobs WHERE service_category IS NULL HAVING count(*) > 0),
-fee_rows AS (
-    SELECT owner, key, total_platform_fee_usd * 4294967296 AS fee FROM owned_jobs
-    UNION ALL SELECT 'all', NULL, total_platform_fee_usd * 4294967296 FROM fct_jobs
-    UNION ALL SELECT 'category', NULL, total_platform_fee_usd * 4294967296 FROM fct_jobs WHERE service_category IS NULL),
--- fees of one owner often end on half a cent, where a compensated sum of parts depends on their order: exact sums
-exact_fees AS (
-    SELECT owner, key AS fee_key, (sum(floor(fee)::HUGEINT)::DOUBLE + sum(fee - floor(fee))) / 4294967296 AS exact
-    FROM fee_rows GROUP BY owner, key)
+amounts AS (
+    SELECT owner, key, total_platform_fee_usd * 4294967296 AS fee, CASE WHEN is_completed THEN hours_variance END * 4294967296 AS gap FROM owned_jobs
+    UNION ALL SELECT 'all', NULL, total_platform_fee_usd * 4294967296, CASE WHEN is_completed THEN hours_variance END * 4294967296 FROM fct_jobs
+    UNION ALL SELECT 'category', NULL, total_platform_fee_usd * 4294967296, CASE WHEN is_completed THEN hours_variance END * 4294967296 FROM fct_jobs WHERE service_category IS NULL),
+-- totals of one owner often end on half a cent, where a compensated sum of parts depends on their order: exact sums
+exact AS (
+    SELECT owner, key AS owner_key, (sum(floor(fee)::HUGEINT)::DOUBLE + sum(fee - floor(fee))) / 4294967296 AS fee,
+           (sum(floor(gap)::HUGEINT)::DOUBLE + sum(gap - floor(gap))) / 4294967296 AS gap
+    FROM amounts GROUP BY owner, key)
 SELECT grain, CASE WHEN grain = 'contractor' THEN key::BIGINT END AS contractor_id,
        CASE WHEN grain = 'customer' THEN key::BIGINT END AS customer_id,
        CASE WHEN grain = 'category' THEN key END AS service_category,
        n AS total_jobs, n_done AS completed_jobs, n_off AS canceled_jobs, off_contractor AS contractor_cancellations,
        off_customer AS customer_cancellations, refunds AS jobs_with_refunds, full_refunds AS full_refund_jobs,
        gross AS total_gross_usd, net AS total_net_revenue_usd, earned AS total_earned_usd, refunded AS total_refunded_usd,
-       round(exact, 2) AS total_platform_fee_usd,
+       round(x.fee, 2) AS total_platform_fee_usd,
        round((done_gross * 100)::DOUBLE / nullif(done_grossed * 100, 0)::DOUBLE, 2) AS avg_job_gross_usd,
-       round(variance / nullif(varied, 0)::DOUBLE, 2) AS avg_hours_variance,
+       round(x.gap / nullif(varied, 0)::DOUBLE, 2) AS avg_hours_variance,
        round(100.0 * n_done / n, 2) AS completion_rate_pct, round(100.0 * n_off / n, 2) AS cancellation_rate_pct,
        round(100.0 * refunds / nullif(n_done, 0), 2) AS refund_rate_pct,
        first_at AS first_job_at, last_at AS last_job_at, done_at AS last_completed_at
-FROM each LEFT JOIN exact_fees f ON f.owner = grain AND f.fee_key IS NOT DISTINCT FROM key
+FROM each LEFT JOIN exact x ON x.owner = grain AND x.owner_key IS NOT DISTINCT FROM key
 """
 
 # selects run after the model CTEs (and RECONCILE_CTES)
