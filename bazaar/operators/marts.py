@@ -102,6 +102,17 @@ JOB_COLUMNS = [
     "gross_amount_usd",
 ]
 PAYOUT_AGG_COLUMNS = ["total_payout_amount_usd", "total_platform_fee_usd", "payout_count", "has_pending_payout"]
+ADJUSTMENT_AGG_COLUMNS = ["total_refund_usd", "total_bonus_usd", "adjustment_count", "has_full_refund"]
+CONTEXT_COLUMNS = [
+    "service_category",
+    "hourly_rate_usd",
+    "rate_tier",
+    "contractor_tier",
+    "is_premium_tier",
+    "contractor_commission_rate",
+    "customer_city",
+    "customer_account_status",
+]
 
 
 def job_financials(jobs: DataFrame, payouts_agg: DataFrame, adjustments_agg: DataFrame) -> DataFrame:
@@ -111,7 +122,11 @@ def job_financials(jobs: DataFrame, payouts_agg: DataFrame, adjustments_agg: Dat
     Payout columns stay NULL without a payout; adjustment columns default to
     0 / false; net revenue stays NULL when gross is NULL.
     """
-    joined = jobs.join(payouts_agg, "job_id", "left").join(adjustments_agg, "job_id", "left")
+    return with_financials(jobs.join(payouts_agg, "job_id", "left").join(adjustments_agg, "job_id", "left"))
+
+
+def with_financials(joined: DataFrame, *others: str) -> DataFrame:
+    """The columns of ``job_financials`` (and ``others``) of jobs that have their two roll-ups beside them."""
     refund = F.coalesce(F.col("total_refund_usd"), F.lit(0)).cast(MONEY_SUM_TYPE)
     return joined.select(
         *JOB_COLUMNS,
@@ -121,11 +136,19 @@ def job_financials(jobs: DataFrame, payouts_agg: DataFrame, adjustments_agg: Dat
         F.coalesce(F.col("adjustment_count"), F.lit(0)).cast("bigint").alias("adjustment_count"),
         F.coalesce(F.col("has_full_refund"), F.lit(False)).alias("has_full_refund"),
         (F.col("gross_amount_usd") - refund).cast(MONEY_SUM_TYPE).alias("net_revenue_usd"),
+        *others,
     )
 
 
 def fct_jobs(financials: DataFrame, services: DataFrame, contractors: DataFrame, users: DataFrame) -> DataFrame:
     """One row per job with payouts, adjustments, net revenue and context."""
+    return with_context(financials, services, contractors, users).select(
+        *JOB_COLUMNS, *PAYOUT_AGG_COLUMNS, *ADJUSTMENT_AGG_COLUMNS, "net_revenue_usd", *CONTEXT_COLUMNS
+    )
+
+
+def with_context(jobs: DataFrame, services: DataFrame, contractors: DataFrame, users: DataFrame) -> DataFrame:
+    """Job-grain rows with the descriptive columns of their service, contractor and customer."""
     svc = services.select("service_id", "service_category", "hourly_rate_usd", "rate_tier")
     con = contractors.select(
         "contractor_id",
@@ -139,26 +162,7 @@ def fct_jobs(financials: DataFrame, services: DataFrame, contractors: DataFrame,
         F.col("account_status").alias("customer_account_status"),
     )
     return (
-        financials.join(svc, "service_id", "left")
-        .join(con, "contractor_id", "left")
-        .join(cus, "customer_id", "left")
-        .select(
-            *JOB_COLUMNS,
-            *PAYOUT_AGG_COLUMNS,
-            "total_refund_usd",
-            "total_bonus_usd",
-            "adjustment_count",
-            "has_full_refund",
-            "net_revenue_usd",
-            "service_category",
-            "hourly_rate_usd",
-            "rate_tier",
-            "contractor_tier",
-            "is_premium_tier",
-            "contractor_commission_rate",
-            "customer_city",
-            "customer_account_status",
-        )
+        jobs.join(svc, "service_id", "left").join(con, "contractor_id", "left").join(cus, "customer_id", "left")
     )
 
 

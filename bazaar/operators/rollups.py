@@ -60,18 +60,26 @@ def _states() -> dict[str, Column]:
 def job_states(facts: DataFrame, *within: str) -> DataFrame:
     """(grain, the three keys, states) of the fact, one scan; ``within`` are columns to keep parts of it apart by.
 
-    The key of a grain may be NULL (jobs without one); the keys of other grains are.
+    The key of a grain may be NULL (jobs without one); the keys of other grains are. Parts
+    are not grouped by grouping sets but by rows exploded to their four grains, which stay where
+    they are: a fact that is partitioned by ``within`` is grouped without a shuffle.
     """
     keys = list(GRAINS.values())
+    if within:
+        types = {k: facts.schema[k].dataType for k in keys}
+        at = lambda own: [(F.col(k) if k == own else F.lit(None).cast(types[k])).alias(k) for k in keys]
+        grains = [F.struct(F.lit(name).alias("grain"), *at(k)) for name, k in (GRAINS | {WHOLE: None}).items()]
+        rest = [c for c in facts.columns if c not in keys]
+        exploded = facts.select(*rest, F.explode(F.array(*grains)).alias("_at")).select(*rest, "_at.*")
+        return exploded.groupBy(*within, "grain", *keys).agg(*[c.alias(name) for name, c in _states().items()])
     whole = 2 ** len(keys) - 1  # the grouping id: a bit for each key that is not grouped by
-    sets = [[*within, k] for k in keys] + [[*within]]
     grain = F.lit(WHOLE)
     for i, name in enumerate(GRAINS):
         grain = F.when(F.col("_set") == whole - 2 ** (len(keys) - 1 - i), name).otherwise(grain)
-    grouped = facts.groupingSets(sets, *within, *keys).agg(
+    grouped = facts.groupingSets([[k] for k in keys] + [[]], *keys).agg(
         F.grouping_id().alias("_set"), *[c.alias(name) for name, c in _states().items()]
     )
-    return grouped.select(*within, grain.alias("grain"), *keys, *_states())
+    return grouped.select(grain.alias("grain"), *keys, *_states())
 
 
 def merged(states: DataFrame) -> DataFrame:

@@ -12,14 +12,19 @@ minimum or a maximum. Scorecards and KPIs are made from the merged states.
   can come in any order; a payout or adjustment may come before its job.
 - A row that moves to another job touches the bucket it leaves too. A changed service,
   contractor or user touches the buckets of the jobs that refer to it.
+- Only what a batch changes is made anew in the buckets it touches: tables it has no rows of
+  stay, and if it has payouts or adjustments alone the fact keeps its other columns. The rows
+  of a table that nothing is stored of are put down once, as its buckets.
 - A batch is one commit: its data are put down first, then a manifest that names the
   folder of every bucket is created (``sources.snapshots.commit_manifest``). Readers see
   one version; a batch that dies changes nothing they see and can be applied again; of
   two batches applied to one version the second gets ``SnapshotConflict``.
 
-The driver holds the manifest, one entry for each bucket and part. Buckets are written
-through a rebalancing shuffle, so that a bucket with a very large job is split over
-tasks and files.
+The driver holds the manifest, one entry for each bucket and part. Buckets of raw rows are
+written through a rebalancing shuffle, so that a bucket with a very large job is split over
+tasks and files. The fact has one row for a job: jobs and the roll-ups of their payouts and
+adjustments move to their bucket once, meet there, and the fact and its states are written
+from where they are.
 """
 
 from __future__ import annotations
@@ -27,10 +32,10 @@ from __future__ import annotations
 import uuid
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bazaar.operators import rollups
+from bazaar.operators import marts, rollups
 from bazaar.operators import scorecards as sc
 from bazaar.plans.graph import Marketplace
 from bazaar.sources import manifest, staged, versions
@@ -47,6 +52,11 @@ DIMENSIONS = {
 }
 FACT, STATES = "fct_jobs", "job_states"
 BUCKET = "bucket"
+#: The tables that a job has several rows of: the model of their roll-up, and its columns in the fact.
+CHILDREN = {
+    "payouts": ("payouts_by_job", marts.PAYOUT_AGG_COLUMNS),
+    "adjustments": ("adjustments_by_job", marts.ADJUSTMENT_AGG_COLUMNS),
+}
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -131,11 +141,40 @@ class MarketStore:
 
     def _write(self, df: DataFrame, folder: str) -> dict[str, str]:
         """Write rows with a bucket column; bucket -> folder of those that have rows."""
-        df.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.directory}/{folder}")
+        return self._written(df.hint("rebalance", BUCKET), folder)
+
+    def _written(self, df: DataFrame, folder: str) -> dict[str, str]:
+        """``_write`` of rows that are together with those of their bucket."""
+        df.write.partitionBy(BUCKET).parquet(f"{self.directory}/{folder}")
         target, fs = hadoop_path(self.spark, f"{self.directory}/{folder}")
         names = (s.getPath().getName() for s in fs.listStatus(target))
         return {n.split("=")[1]: f"{folder}/{n}" for n in names if n.startswith(f"{BUCKET}=")}
 
+    def _fact(self, fresh: Marketplace, old: DataFrame | None, bucket: Column) -> DataFrame:
+        """The fact with its bucket column, partitioned by it.
+
+        Of the stored fact ``old``, if given, all columns but the roll-ups of ``fresh``'s children stay.
+        """
+        children = [t for t in CHILDREN if t in fresh.raw]
+        if old is None:
+            jobs = marts.with_context(
+                fresh.int_jobs_enriched,
+                fresh.int_services_enriched,
+                fresh.int_contractor_profiles_enriched,
+                fresh.int_users_enriched,
+            ).select(*marts.JOB_COLUMNS, *marts.CONTEXT_COLUMNS)
+        else:
+            jobs = old.drop("net_revenue_usd", *[c for t in children for c in CHILDREN[t][1]])
+        rows = jobs.select("*", bucket, F.lit(True).alias("_job"))
+        for name in children:
+            by_job = fresh.model(CHILDREN[name][0]).where("job_id IS NOT NULL")
+            rows = rows.unionByName(by_job.select("*", bucket, F.lit(False).alias("_job")), allowMissingColumns=True)
+        # a job has one row of each roll-up at most: the greatest value is the only one
+        job = Window.partitionBy(BUCKET, "job_id")
+        rolled = {c: F.max(c).over(job) for t in children for c in CHILDREN[t][1]}
+        joined = rows.repartition(BUCKET).withColumns(rolled).where("_job")
+        return marts.with_financials(joined, *marts.CONTEXT_COLUMNS, BUCKET)
+
     def apply(self, batch: dict[str, DataFrame], base: int | None = None) -> set[int]:
         """Apply rows of any of the raw tables as the next version; returns the buckets that were rewritten."""
         if unknown := set(batch) - set(JOB_TABLES) - set(DIMENSIONS):
@@ -146,46 +185,68 @@ class MarketStore:
         stored = self._raw(state)
         bucket = self._bucket(state)
         # the batch is written once: what it holds is then the same for every step
-        rows = {}
+        rows, new = {}, {}
         for name, df in batch.items():
-            staged(df, name).write.parquet(f"{self.directory}/{write}/batch/{name}")
-            rows[name] = self._read([f"{write}/batch/{name}"], RAW_SCHEMAS[name])
-
+            folder = f"{write}/batch/{name}"
+            if name in JOB_TABLES and not state["parts"].get(name):
+                # nothing to merge with: these are the table's buckets
+                new[name] = self._write(staged(df, name).select("*", bucket), f"{write}/{name}")
+                rows[name] = self._read(list(new[name].values()), RAW_SCHEMAS[name])
+                continue
+            if name in DIMENSIONS and name not in state["tables"]:
+                folder = f"{write}/{name}"
+            staged(df, name).write.parquet(f"{self.directory}/{folder}")
+            rows[name] = self._read([folder], RAW_SCHEMAS[name])
+
+        numbers = {b for found in new.values() for b in found}
         touched = []
         for name, key in JOB_TABLES.items():
-            if name in rows:
+            if name in rows and name not in new:
                 touched.append(rows[name].select(bucket))
                 touched.append(stored[name].join(rows[name].select(key), key, "left_semi").select(bucket))
-        facts = self._read(list(state["parts"].get(FACT, {}).values()), self._schemas(stored)[0])
-        for name, (key, reference) in DIMENSIONS.items():
-            if name in rows:
-                changed = rows[name].select(F.col(key).alias(reference))
-                touched.append(facts.join(changed, reference, "left_semi").select(bucket))
-        # at most one row for each bucket
-        numbers = {str(r[0]) for r in _union(touched).distinct().collect()} if touched else set()
+        if state["parts"].get(FACT):
+            facts = self._read(list(state["parts"][FACT].values()), self._schemas(stored)[0])
+            for name, (key, reference) in DIMENSIONS.items():
+                if name in rows:
+                    changed = rows[name].select(F.col(key).alias(reference))
+                    touched.append(facts.join(changed, reference, "left_semi").select(bucket))
+        if touched:  # at most one row for each bucket
+            numbers |= {str(r[0]) for r in _union(touched).distinct().collect()}
 
         tables = dict(state["tables"])
         for name, (key, _) in DIMENSIONS.items():
             if name in rows:
-                kept = stored[name].join(rows[name].select(key).distinct(), key, "left_anti")
                 tables[name] = f"{write}/{name}"
-                _union([kept, rows[name]]).write.parquet(f"{self.directory}/{tables[name]}")
-        parts = {p: {b: f for b, f in found.items() if b not in numbers} for p, found in state["parts"].items()}
+                if name in state["tables"]:
+                    kept = stored[name].join(rows[name].select(key).distinct(), key, "left_anti")
+                    _union([kept, rows[name]]).write.parquet(f"{self.directory}/{tables[name]}")
+        # what the batch does not change stays
+        parts = {p: dict(found) for p, found in state["parts"].items()}
         if numbers:
             old = self._raw(state, numbers)
-            written = {}
             for name, key in JOB_TABLES.items():
-                now = old[name]
-                if name in rows:
-                    now = _union([now.join(rows[name].select(key).distinct(), key, "left_anti"), rows[name]])
-                written[name] = self._write(now.select("*", bucket), f"{write}/{name}")
-                parts[name] = parts.get(name, {}) | written[name]
-            fresh = Marketplace(self._raw({"tables": tables, "parts": written}))
-            written[FACT] = self._write(fresh.fct_jobs.select("*", bucket), f"{write}/{FACT}")
-            parts[FACT] = parts.get(FACT, {}) | written[FACT]
-            computed = self._read(list(written[FACT].values()), fresh.fct_jobs.schema).select("*", bucket)
-            written[STATES] = self._write(rollups.job_states(computed, BUCKET), f"{write}/{STATES}")
-            parts[STATES] = parts.get(STATES, {}) | written[STATES]
+                if name not in rows:
+                    continue
+                if name not in new:
+                    kept = old[name].join(rows[name].select(key).distinct(), key, "left_anti")
+                    new[name] = self._write(_union([kept, rows[name]]).select("*", bucket), f"{write}/{name}")
+                parts[name] = {b: f for b, f in parts.get(name, {}).items() if b not in numbers} | new[name]
+            raw = self._raw({"tables": tables, "parts": parts}, numbers)
+            fact = None
+            if set(rows) <= set(CHILDREN):
+                raw = {name: raw[name] for name in rows}
+                found = [f for b, f in parts.get(FACT, {}).items() if b in numbers]
+                fact = self._read(found, self._schemas(stored)[0])
+            made = self._fact(Marketplace(raw), fact, bucket).persist()
+            try:
+                now = {
+                    FACT: self._written(made, f"{write}/{FACT}"),
+                    STATES: self._written(rollups.job_states(made, BUCKET), f"{write}/{STATES}"),
+                }
+            finally:
+                made.unpersist()
+            for name, found in now.items():
+                parts[name] = {b: f for b, f in parts.get(name, {}).items() if b not in numbers} | found
         commit_manifest(
             self.spark, self.directory, base + 1, {"buckets": state["buckets"], "tables": tables, "parts": parts}
         )

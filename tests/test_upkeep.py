@@ -151,3 +151,35 @@ def test_changed_rows_are_retracted_and_other_buckets_stay(spark, at):
     folders = [f for found in manifest(spark, at)[1]["parts"].values() for f in found.values()]
     here = at.removeprefix("file://")
     assert all(os.path.isdir(f"{here}/{f}") for f in folders)
+
+
+def test_a_batch_of_payouts_or_adjustments_moves_nothing_else(spark, at):
+    tables = made(random.Random(7))
+    # repeated and absent keys
+    tables["jobs"] += [tables["jobs"][4], job(None, 1, 1, 6, "2024-02-02 00:00:00", None)]
+    tables["payouts"] += [payout(200, 1, None, "2024-03-03 00:00:00", 0.2, 5.0)]
+    tables["adjustments"] += [adjustment(None, 3, "2024-03-03 00:00:00", "full_refund", 2.5)]
+    late = {"adjustments": [adjustment(300 + i, i, "2024-06-20 00:00:00", "full_refund", i + 0.25) for i in range(1, 41, 2)]}
+    late["adjustments"] += [adjustment(299, None, "2024-06-20 00:00:00", "full_refund", 1.0), tables["adjustments"][3]]
+    paid = {"payouts": [payout(i, 2, None if i == 8 else 1 + i % 5, "2024-06-21 00:00:00", 0.2, 70.5) for i in range(5, 9)]}
+    store = MarketStore(spark, at, buckets=4)
+    store.apply(framed(spark, tables))
+    first = manifest(spark, at)[1]["parts"]
+    for batch, child, others in ((late, "adjustments", ("jobs", "payouts")), (paid, "payouts", ("jobs", "adjustments"))):
+        before = manifest(spark, at)[1]["parts"]
+        store.apply(framed(spark, batch))
+        after = manifest(spark, at)[1]["parts"]
+        assert all(after[t] == before[t] for t in others) and after[child] != before[child]
+        keys = {r[0] for r in batch[child]} - {None}
+        tables[child] = [r for r in tables[child] if r[0] not in keys] + batch[child]
+        assert_same(store.read(), Marketplace(raw_tables(spark, **tables)))
+    # the first rows of a table are written once, as its buckets
+    assert not [f for found in first.values() for f in found.values() if "/batch/" in f]
+
+
+def test_states_of_parts_are_grouped_where_they_are(spark):
+    facts = Marketplace.load(spark, SF_SMALL).fct_jobs.selectExpr("*", "job_id % 7 AS part")
+    placed = spark.createDataFrame(facts.limit(50).collect(), facts.schema).repartition("part")
+    plan = rollups.job_states(placed, "part")._jdf.queryExecution().sparkPlan().toString()
+    executed = rollups.job_states(placed, "part")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan and executed.count("Exchange hashpartitioning") == 1
