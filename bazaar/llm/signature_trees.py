@@ -9,8 +9,9 @@ Jaccard similarity is at least ``PERCENT`` hundredths. Equal sets are one node.
 2. A set of n shingles has a prefix: its first n - ceil(0.8 n) + 1 in that order. Sets
    that link share a shingle of both prefixes, so every shingle that several prefixes hold
    is the root of a signature tree over those sets.
-3. Near copies are linked first: each set is compared with the least set of equal min-hash.
-   Roots whose sets are all connected by then are passed over.
+3. Near copies are linked first: each set is compared with the least set of equal min-hash, then
+   each component at a root with the root's least component (no more pairs than sets). Roots
+   whose sets are all connected by then are passed over.
 4. In a tree the sets are leaves, ordered by size and component; a node holds the
    OR of its sets' bitmaps, their range of sizes, their greatest remainder (shingles from
    the root's on) and excess (shingles less bits), and their range of components. Pairs of nodes are
@@ -610,7 +611,10 @@ class Join:
         # written first, so that a key with very many sets can be split in the join
         least = self.scratch.table(least, "least")
         ends = keys.join(least, ["p", "m"]).where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-        ends = self.scratch.table(ends.distinct(), "hub-ends")
+        return self.verified(self._bits_allow(self.scratch.table(ends.distinct(), "hub-ends")), "near")
+
+    def _bits_allow(self, ends: DataFrame) -> DataFrame:
+        """Those of the pairs ``ends`` (a, b) whose bitmaps allow a link."""
         side = lambda s, name: self.nodes.select(F.col("id").alias(name), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"bits{s}"))
         both = ends.join(side("x", "a"), "a").join(side("y", "b"), "b")
 
@@ -625,7 +629,29 @@ class Join:
                 mask = pa.array(possible(found[0], at, found[1], at, sets=True))
                 yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
 
-        return self.verified(both.select("a", "b", "nx", "bitsx", "ny", "bitsy").mapInArrow(run, "a long, b long"), "near")
+        return both.select("a", "b", "nx", "bitsx", "ny", "bitsy").mapInArrow(run, "a long, b long")
+
+    def hub_links(self, live: DataFrame, label: str) -> DataFrame:
+        """Links of the components at a root with the least of them, by one pair of sets each."""
+        hubs = live.groupBy("token").agg(F.min(F.struct("component", "id")).alias("h"))
+        # written first, so that a root with very many sets can be split in the join
+        hubs = self.scratch.table(hubs, f"{label}-hubs")
+        ends = (
+            live.join(hubs, "token")
+            .where("component <> h.component")
+            .groupBy("component", F.col("h.component").alias("hub"))
+            .agg(F.min(F.struct("id", F.col("h.id").alias("hub_id"))).alias("p"))
+        )
+        ends = self.scratch.table(ends.select(F.col("p.id").alias("a"), F.col("p.hub_id").alias("b")), f"{label}-ends")
+        links = self.verified(self._bits_allow(ends), label)
+        self.scratch.drop(f"{label}-hubs", f"{label}-ends")
+        return links
+
+    def still_apart(self, live: DataFrame, known: DataFrame) -> DataFrame:
+        """``live`` with the components of ``known``, without roots whose sets are of one."""
+        now = live.drop("component").join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        roots = now.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+        return now.join(roots.where("c0 <> c1").select("token"), "token").select("token", "id", "place", "component", "sets")
 
     def shared_entries(self, known: DataFrame) -> DataFrame:
         """(token, id, place, component, sets) of roots whose sets are of several components."""
@@ -694,6 +720,10 @@ class Join:
         live = scratch.table(self.shared_entries(known), "live")
         scratch.drop("entries", "roots")
         self._released()
+        known = scratch.table(self._merged(known, self.hub_links(live, "hub"), "hub"), "known-hub")
+        live = scratch.table(self.still_apart(live, known), "still-live")
+        scratch.drop("live", "known-0")
+        self._released()
         leaves = self.nodes.select("id", "n", "bits")
         rows = lambda wanted: live.where(wanted).join(leaves, "id").select(
             "token", "id", "n", (F.col("n") - F.col("place")).alias("rest"), "component", "bits"
@@ -701,25 +731,25 @@ class Join:
         small = small_trees(rows(F.col("sets") <= CHUNK))
         large = large_trees(rows(F.col("sets") > CHUNK), scratch)
         found = scratch.table(small.unionByName(large).distinct(), "found")
-        scratch.drop("live", "chunked", "chunk-nodes", "cells")
+        scratch.drop("still-live", "chunked", "chunk-nodes", "cells")
         self._released()
         # one pair for every two components, the most alike
         best = found.groupBy("ca", "cb").agg(F.min_by(F.struct("a", "b"), F.struct("apart", "a", "b")).alias("p"))
         first = self.verified(best.select("p.a", "p.b"), "best")
-        known = scratch.table(self._merged(known, first, found, "first"), "known-1")
+        known = scratch.table(self._merged(known, first, "first"), "known-1")
         side = lambda c: known.select(F.col("id").alias(c), F.col("component").alias(f"now_{c}"))
         now = found.join(side("a"), "a", "left").join(side("b"), "b", "left")
         apart = F.coalesce("now_a", "a") != F.coalesce("now_b", "b")
         rest = now.where(apart).join(best.select("p.a", "p.b"), ["a", "b"], "left_anti")
         second = self.verified(rest, "rest")
-        known = scratch.table(self._merged(known, second, found, "second"), "known-2")
-        scratch.drop("found", "known-0", "known-1")
+        known = scratch.table(self._merged(known, second, "second"), "known-2")
+        scratch.drop("found", "known-hub", "known-1")
         return known
 
     def _connected(self, links: DataFrame, label: str) -> DataFrame:
         return connected_components(links, self.scratch, label).select(F.col("node").alias("id"), "component")
 
-    def _merged(self, known: DataFrame, links: DataFrame, found: DataFrame, label: str) -> DataFrame:
+    def _merged(self, known: DataFrame, links: DataFrame, label: str) -> DataFrame:
         """``known`` after further links: components are joined, and new nodes enter."""
         side = lambda c: known.select(F.col("id").alias(c), F.col("component").alias(f"c_{c}"))
         between = links.join(side("a"), "a", "left").join(side("b"), "b", "left")

@@ -240,3 +240,24 @@ def test_traversal_finds_every_pair_that_links():
     }
     inside = set(left.tolist())
     assert {p for p in linked if (p[0] in inside) != (p[1] in inside)} <= pairs
+
+
+def test_components_at_a_root_meet_its_least_before_all_pairs(spark, monkeypatch):
+    """Near copies that no min-hash has linked: as many pairs as sets, not as pairs of them."""
+    from bazaar.llm import signature_trees as trees
+
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    copies = [(k, " ".join([*words[:290], f"end{k}"])) for k in range(30)]
+    docs = spark.createDataFrame([*copies, (90, " ".join(words[::-1]))], "doc_id long, text string")
+    pairs, verified = {}, trees.Join.verified
+
+    def counted(self, found, label):
+        pairs[label] = found.count()
+        return verified(self, found, label)
+
+    monkeypatch.setattr(trees.Join, "verified", counted)
+    monkeypatch.setattr(trees.Join, "near_copies", lambda self: self.nodes.selectExpr("id AS a", "id AS b").where("false"))
+    got = {r.doc_id: r.component_id for r in trees.jaccard_components(docs).collect()}
+    assert got == {k: 0 for k in range(30)} | {90: 90}
+    assert 0 < sum(pairs.values()) <= 60
