@@ -19,6 +19,8 @@ Jaccard similarity is at least ``PERCENT`` hundredths. Equal sets are one node.
    and remainders allow is less than its least sizes need, or if it is one component.
    A root of over ``CHUNK`` sets is cut into chunks by size, which are nodes of the upper
    level: pairs of chunks are pruned first, and each that is left is a traversal of its own.
+   A set brings the ``EARLIER`` live roots of its prefix that come last before this one: a pair that
+   has one of them in common has been put out there, or at a root before it, and is not repeated.
 5. Surviving pairs, of large sets those that a wider bitmap leaves, are verified by their texts: first one pair for every two components,
    then all whose components are still different. Components over all links.
 
@@ -37,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.llm.components import connected_components
@@ -56,6 +58,8 @@ WIDE, LARGE_SET = 256, 1_000
 #: Children of a tree's node, and sets that one traversal takes from each side.
 FANOUT = 8
 CHUNK = 1_024
+#: Live roots of a set's prefix that are looked at, so that near copies are not put out at every root.
+EARLIER = 8
 #: Min-hashes of a set that near copies are first looked up by.
 MIN_HASHES = 3
 #: Bytes of text that are handled at once, and shingles of one counting bucket.
@@ -373,6 +377,20 @@ def _ordered(t: pa.Table) -> pa.Table:
     return t.sort_by([("n", "ascending"), ("component", "ascending"), ("id", "ascending")])
 
 
+def _earlier(t: pa.Table) -> np.ndarray:
+    """Roots before this one, ``EARLIER`` a row; 0 is none."""
+    return np.asarray(pc.list_flatten(t.column("earlier"))).reshape(-1, EARLIER)
+
+
+def _first_time(x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows i of ``x`` and j of ``y`` have no earlier root in common."""
+    fresh = np.ones(len(i), bool)
+    for k in range(EARLIER):
+        one = x[i, k]
+        fresh &= ~((one[:, None] == y[j]) & (one != 0)[:, None]).any(1)
+    return fresh
+
+
 PAIRS = "a long, b long, ca long, cb long, apart long"
 
 
@@ -388,8 +406,11 @@ def _batch(left: pa.Table, right: pa.Table, x: Nodes, y: Nodes, i: np.ndarray, j
 def _pairs(left: pa.Table, right: pa.Table | None) -> Iterator[pa.RecordBatch]:
     """Pairs of leaves that a traversal leaves."""
     x, y = _nodes(left), _nodes(right) if right is not None else None
+    other = right if right is not None else left
+    before, before_other = _earlier(left), _earlier(other)
     for i, j in traverse(x, y):
-        yield _batch(left, right if right is not None else left, x, y or x, i, j)
+        fresh = _first_time(before, i, before_other, j)
+        yield _batch(left, other, x, y or x, i[fresh], j[fresh])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
@@ -422,10 +443,11 @@ def _pairs_of_small(t: pa.Table, starts: np.ndarray, sizes: np.ndarray) -> Itera
     k = np.arange(len(root)) - np.repeat(np.cumsum(each) - each, each)
     i, j = k // sizes[root], k % sizes[root]
     i, j = (starts[root] + i)[i < j], (starts[root] + j)[i < j]
-    x = _nodes(t)
+    x, before = _nodes(t), _earlier(t)
     for at in range(0, len(i), 1 << 16):
         a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-        keep = possible(x, a, x, b, sets=True)
+        keep = _first_time(before, a, before, b)
+        keep[keep] = possible(x, a[keep], x, b[keep], sets=True)
         yield _batch(t, t, x, x, a[keep], b[keep])
 
 
@@ -467,7 +489,7 @@ def large_trees(rows: DataFrame, scratch: Scratch) -> DataFrame:
     chunked = chunked.join(sizes, ["token", "band"]).withColumn(
         "chunk", F.col("band") * 1_000_000 + F.pmod(F.xxhash64("id"), F.ceil(F.col("in_band") / CHUNK))
     )
-    chunked = scratch.table(chunked.select("token", "chunk", "id", "n", "rest", "component", "bits"), "chunked")
+    chunked = scratch.table(chunked.select("token", "chunk", "id", "n", "rest", "component", "bits", "earlier"), "chunked")
     schema = "token long, chunk long, bits binary, low long, high long, rest long, excess long, c0 long, c1 long"
 
     def summary(t: pa.Table) -> pa.Table:
@@ -509,7 +531,7 @@ def large_trees(rows: DataFrame, scratch: Scratch) -> DataFrame:
             yield from _pairs(_ordered(left), _ordered(right) if right.num_rows else None)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    columns = ("cell", "right", "id", "n", "rest", "component", "bits")
+    columns = ("cell", "right", "id", "n", "rest", "component", "bits", "earlier")
     return placed.select(*columns).repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(run, PAIRS)
 
 
@@ -653,6 +675,16 @@ class Join:
         roots = now.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
         return now.join(roots.where("c0 <> c1").select("token"), "token").select("token", "id", "place", "component", "sets")
 
+    def with_earlier(self, live: DataFrame) -> DataFrame:
+        """``live`` with the roots of a set that come last before each.
+
+        Two sets of different components that share a root share it here too, as every row of a live
+        root is kept, and less of both is left at a later root than at an earlier one.
+        """
+        in_order = Window.partitionBy("id").orderBy("place")
+        before = [F.coalesce(F.lag("token", k).over(in_order), F.lit(0)) for k in range(1, EARLIER + 1)]
+        return live.withColumn("earlier", F.array(*before))
+
     def shared_entries(self, known: DataFrame) -> DataFrame:
         """(token, id, place, component, sets) of roots whose sets are of several components."""
         scratch = self.scratch
@@ -725,8 +757,9 @@ class Join:
         scratch.drop("live", "known-0")
         self._released()
         leaves = self.nodes.select("id", "n", "bits")
+        live = self.with_earlier(live)
         rows = lambda wanted: live.where(wanted).join(leaves, "id").select(
-            "token", "id", "n", (F.col("n") - F.col("place")).alias("rest"), "component", "bits"
+            "token", "id", "n", (F.col("n") - F.col("place")).alias("rest"), "component", "bits", "earlier"
         )
         small = small_trees(rows(F.col("sets") <= CHUNK))
         large = large_trees(rows(F.col("sets") > CHUNK), scratch)

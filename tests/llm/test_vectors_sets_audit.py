@@ -261,3 +261,23 @@ def test_components_at_a_root_meet_its_least_before_all_pairs(spark, monkeypatch
     got = {r.doc_id: r.component_id for r in trees.jaccard_components(docs).collect()}
     assert got == {k: 0 for k in range(30)} | {90: 90}
     assert 0 < sum(pairs.values()) <= 60
+
+
+def test_a_pair_is_not_put_out_at_every_root_that_it_has(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    passage = [word() for _ in range(400)]
+    rows = [(i, " ".join(passage + [word() for _ in range(55)])) for i in range(30)]
+    found, trees = [], signature_trees.small_trees
+
+    def counted(frame):
+        pairs = trees(frame)
+        found.extend((min(r.a, r.b), max(r.a, r.b)) for r in pairs.collect())
+        return pairs
+
+    monkeypatch.setattr(signature_trees, "small_trees", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # 396 of 506 shingles are common to two of them: every pair is looked at, none links
+    assert {(r.doc_id, r.component_id) for r in signature_trees.jaccard_components(docs).collect()} == {(i, i) for i in range(30)}
+    assert len(set(found)) == 30 * 29 // 2
+    assert len(found) <= 2 * len(set(found))
