@@ -159,6 +159,36 @@ def test_columnwise_against_brute_force():
             assert marks.tolist() == [seen[t[i : i + window]] > 1 for i in range(len(t) - window + 1)]
 
 
+def test_columnwise_rounds_of_wide_symbols(monkeypatch):
+    """A window of 400 bytes is 10 symbols; a piece of 672 bytes takes 16 rounds over all suffixes, not 42."""
+    rng = random.Random(11)
+    window = 400
+    base = bytes(rng.choices(b"abcd", k=900))
+    texts = [base[:672], base[100:772], bytes(rng.choices(b"ab", k=500)), (b"xyz" * 300)[:672], base[50:449], b""]
+    rounds = []
+    insert = columnwise.Collection.insert
+    monkeypatch.setattr(columnwise.Collection, "insert", lambda self, *a: (rounds.append(1), insert(self, *a)))
+    lengths = np.array([len(t) for t in texts])
+    got = columnwise.repeated_windows(b"".join(texts), np.cumsum(lengths) - lengths, lengths, window)
+    assert len(rounds) == 672 // 40
+    seen = {}
+    for t in texts:
+        for i in range(len(t) - window + 1):
+            seen[t[i : i + window]] = seen.get(t[i : i + window], 0) + 1
+    for t, marks in zip(texts, got, strict=True):
+        assert marks.tolist() == [seen[t[i : i + window]] > 1 for i in range(len(t) - window + 1)]
+
+
+def test_range_minima():
+    rng = np.random.default_rng(4)
+    for n in (1, 7, 8, 9, 64, 1_000):
+        values = rng.integers(0, 255, n).astype(np.uint8)
+        first = rng.integers(0, n, 500)
+        end = first + 1 + (rng.random(500) * (n - first)).astype(np.int64)
+        got = columnwise.Minima(values).of(first, end)
+        assert got.tolist() == [int(values[a:b].min()) for a, b in zip(first, end, strict=True)]
+
+
 def repeated(docs):
     frame = repeats.remove_repeats(docs)
     assert frame.where("lost_bytes != (n_removed > 0)").count() == 0
